@@ -47,15 +47,16 @@ def fill_calendar(
     spread = daily.withColumn("_next", successor).withColumn(
         "_day", F.explode(F.sequence(date, F.coalesce(F.date_sub("_next", 1), F.col(date))))
     )
-    real = F.col("_day") == F.col(date)
     columns = []
     for c in daily.columns:
         if c in keys:
             columns.append(F.col(c))
         elif c == date:
             columns.append(F.col("_day").alias(c))
+        elif c in fills:
+            columns.append(F.when(F.col("_day") == F.col(date), F.col(c)).otherwise(F.lit(fills[c])).alias(c))
         else:
-            columns.append(F.when(real, F.col(c)).otherwise(F.lit(fills.get(c))).alias(c))
+            columns.append(F.expr(f"CASE WHEN _day = `{date}` THEN `{c}` END AS `{c}`"))
     return spread.select(*columns)
 
 

@@ -28,20 +28,16 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], fraction: float, how:
     if how not in ("linear", "higher"):
         raise ValueError(f"unknown interpolation {how!r}")
     columns = list(columns)
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    wide = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns])
     return select_ranks(wide, columns, _brackets(wide, columns, fraction), fraction, how)
 
 
 def bracket_columns(columns: Sequence[str], fraction: float) -> list[Column]:
-    ends = [max(0.0, fraction - BRACKET), min(1.0, fraction + BRACKET)]
+    ends = f"array({max(0.0, fraction - BRACKET)!r}D, {min(1.0, fraction + BRACKET)!r}D)"
     out = []
     for i, c in enumerate(columns):
-        out += [
-            F.count(c).alias(f"n{i}"),
-            F.min(c).alias(f"min{i}"),
-            F.max(c).alias(f"max{i}"),
-            F.percentile_approx(c, ends, SKETCH_ACCURACY).alias(f"q{i}"),
-        ]
+        sketch = f"percentile_approx(`{c}`, {ends}, {SKETCH_ACCURACY}) AS q{i}"
+        out += [F.expr(t) for t in (f"count(`{c}`) AS n{i}", f"min(`{c}`) AS min{i}", f"max(`{c}`) AS max{i}", sketch)]
     return out
 
 
@@ -59,22 +55,13 @@ def select_ranks(wide: DataFrame, columns, brackets, fraction: float, how: str)
     known = [(i, c, *b) for i, (c, b) in enumerate(zip(columns, brackets)) if b[0] > 0]
     if not known:
         raise ValueError("no column has a value")
-    below = F.lit(None).cast("double")
-    entries = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("feature"),
-                    F.lit(n).cast("bigint").alias("n"),
-                    F.when(F.col(c) < F.lit(low), below).otherwise(F.col(c)).alias("value"),
-                    (F.col(c) <= F.lit(high)).alias("keep"),
-                )
-                for _, c, n, low, high in known
-            ]
-        )
-    )
+    entries = [
+        f"named_struct('feature', '{c}', 'n', {n}L, 'keep', `{c}` <= {high!r}D, "
+        f"'value', CASE WHEN `{c}` >= {low!r}D THEN `{c}` END)"
+        for _, c, n, low, high in known
+    ]
     counted = (
-        wide.select(entries.alias("e"))
+        wide.select(F.expr(f"explode(array({', '.join(entries)}))").alias("e"))
         .where("e.keep")
         .groupBy("e.feature", "e.n", "e.value")
         .agg(F.count(F.lit(1)).alias("m"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from dayrisk.constants import LAG_HOURS, ROLL_HOURS
 from dayrisk.functions.scalars import storm_phase
 
-BLOCK, TARGET = "_block", "_target"
+BLOCK, OWN = "_block", "_own"
 DAY_SECONDS = 86_400
 
 
@@ -27,9 +27,9 @@ def in_time_blocks(
     step_seconds: int = 3600,
     gap_mode: str = "rows",
 ) -> DataFrame:
-    """Copy each row to its own block (``_block``) and to every later block that looks back to it.
+    """Copy each row to its own time block and to every later block that looks back to it.
 
-    ``_target`` is the block a copy works in; the copy with ``_target == _block`` is the row itself.
+    ``_block`` is the block a copy works in and ``_own`` tells the row itself from its copies.
     With ``gap_mode='time'`` a block looks back ``reach`` steps of time, which a row can decide alone.
     With ``gap_mode='rows'`` it looks back ``reach`` rows, however long the gaps: one small count per
     block tells whether the last ``reach`` steps before its end hold enough rows. If not, the
@@ -41,75 +41,80 @@ def in_time_blocks(
     block_seconds = block_days * DAY_SECONDS
     if reach * step_seconds > block_seconds:
         raise ValueError("a block must be longer than the look-back")
-    block = F.floor(seconds / block_seconds).cast("int")
-    to_end = (F.col(BLOCK).cast("long") + 1) * block_seconds - seconds
+    home = "_home"
+    to_end = (F.col(home).cast("long") + 1) * block_seconds - seconds
     in_tail = to_end <= reach * step_seconds
-    rows = rows.withColumn(BLOCK, block)
+    columns = rows.columns
+    rows = rows.withColumn(home, F.floor(seconds / block_seconds).cast("int"))
 
     if gap_mode == "time":
-        targets = F.when(in_tail, F.array(F.col(BLOCK), F.col(BLOCK) + 1)).otherwise(F.array(F.col(BLOCK)))
-        return rows.withColumn(TARGET, F.explode(targets))
-    if gap_mode != "rows":
+        targets = F.when(in_tail, F.array(F.col(home), F.col(home) + 1)).otherwise(F.array(F.col(home)))
+    elif gap_mode == "rows":
+        rows = rows.join(_forward_feeds(rows, home, in_tail, reach, keys), [*keys, home])
+        forward = F.transform(F.filter("_feeds", lambda f: f["whole"] | in_tail), lambda f: f["to"])
+        targets = F.concat(F.array(home), forward)
+    else:
         raise ValueError(f"gap_mode must be 'rows' or 'time', not {gap_mode!r}")
+    spread = rows.withColumn(BLOCK, F.explode(targets))
+    return spread.select(*columns, BLOCK, (F.col(BLOCK) == F.col(home)).alias(OWN))
 
-    sizes = rows.groupBy(*keys, BLOCK).agg(
+
+def _forward_feeds(rows: DataFrame, home: str, in_tail: Column, reach: int, keys: Sequence[str]) -> DataFrame:
+    """Per block: the later blocks that need its rows, and whether its tail is enough for them."""
+    sizes = rows.groupBy(*keys, home).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(in_tail).alias("_n_tail")
     )
-    in_order = Window.partitionBy(*keys).orderBy(BLOCK)
+    in_order = Window.partitionBy(*keys).orderBy(home)
     later = in_order.rowsBetween(1, reach)
-    feeds = (
+    gap = lambda f: f["_before"] - F.col("_upto")  # rows between the end of this block and block f
+    return (
         sizes.withColumn("_upto", F.sum("_n").over(in_order))
         .withColumn("_before", F.col("_upto") - F.col("_n"))
-        .withColumn("_later", F.collect_list(F.struct(BLOCK, "_before")).over(later))
+        .withColumn("_later", F.collect_list(F.struct(home, "_before")).over(later))
         .select(
             *keys,
-            BLOCK,
+            home,
             F.transform(
-                F.filter("_later", lambda f: f["_before"] - F.col("_upto") < reach),
+                F.filter("_later", lambda f: gap(f) < reach),
                 lambda f: F.struct(
-                    f[BLOCK].alias("to"),
-                    ((f["_before"] > F.col("_upto")) | (F.col("_n_tail") < reach)).alias("whole"),
+                    f[home].alias("to"), ((gap(f) > 0) | (F.col("_n_tail") < reach)).alias("whole")
                 ),
             ).alias("_feeds"),
         )
     )
-    forward = F.transform(F.filter("_feeds", lambda f: f["whole"] | in_tail), lambda f: f["to"])
-    return (
-        rows.join(feeds, [*keys, BLOCK])
-        .withColumn(TARGET, F.explode(F.concat(F.array(BLOCK), forward)))
-        .drop("_feeds")
-    )
 
 
 class PastFrames:
-    """Column builders for one ordered series, by rows or by time, looking strictly back."""
+    """Window expressions over one ordered series, by rows or by time, looking strictly back.
+
+    They are SQL text: a wide panel has hundreds, and building each from Column calls would take
+    longer than planning the query.
+    """
 
     def __init__(self, partition: Sequence[str], ts: str, gap_mode: str = "rows", step_seconds: int = 3600):
-        self.gap_mode, self.step = gap_mode, step_seconds
-        if gap_mode == "rows":
-            self.order = Window.partitionBy(*partition).orderBy(ts)
-        else:
-            self.order = Window.partitionBy(*partition).orderBy(F.unix_seconds(F.col(ts).cast("timestamp")))
+        self.by_rows, self.step = gap_mode == "rows", step_seconds
+        by = "PARTITION BY " + ", ".join(f"`{c}`" for c in partition) if partition else ""
+        order = f"`{ts}`" if self.by_rows else f"unix_seconds(CAST(`{ts}` AS TIMESTAMP))"
+        self.window = f"{by} ORDER BY {order}"
 
-    def lag(self, name: str, steps: int) -> Column:
-        if self.gap_mode == "rows":
-            return F.lag(name, steps).over(self.order)
-        back = -steps * self.step
-        return F.first(name).over(self.order.rangeBetween(back, back))
+    def lag(self, name: str, steps: int) -> str:
+        if self.by_rows:
+            return f"lag(`{name}`, {steps}) OVER ({self.window})"
+        back = steps * self.step
+        return f"first(`{name}`) OVER ({self.window} RANGE BETWEEN {back} PRECEDING AND {back} PRECEDING)"
 
-    def change(self, name: str) -> Column:
-        return F.col(name) - self.lag(name, 1)
+    def change(self, name: str) -> str:
+        return f"`{name}` - {self.lag(name, 1)}"
 
-    def roll(self, name: str, width: int) -> tuple[Column, Column]:
+    def roll(self, name: str, width: int) -> tuple[str, str]:
         """Mean and sample deviation of the ``width`` steps before the row; null below half of them."""
-        if self.gap_mode == "rows":
-            frame = self.order.rowsBetween(-width, -1)
+        if self.by_rows:
+            frame = f"({self.window} ROWS BETWEEN {width} PRECEDING AND 1 PRECEDING)"
         else:
-            frame = self.order.rangeBetween(-width * self.step, -1)
-        enough = F.count(name).over(frame) >= max(2, width // 2)
-        return (
-            F.when(enough, F.avg(name).over(frame)),
-            F.when(enough, F.stddev_samp(name).over(frame)),
+            frame = f"({self.window} RANGE BETWEEN {width * self.step} PRECEDING AND 1 PRECEDING)"
+        enough = f"count(`{name}`) OVER {frame} >= {max(2, width // 2)}"
+        return tuple(
+            f"CASE WHEN {enough} THEN {fn}(`{name}`) OVER {frame} END" for fn in ("avg", "stddev_samp")
         )
 
 
@@ -118,13 +123,14 @@ def lag_and_roll_columns(
     drivers: Sequence[str],
     lags: Sequence[int] = LAG_HOURS,
     rolls: Sequence[int] = ROLL_HOURS,
-) -> list[Column]:
-    out = []
+) -> dict[str, str]:
+    """Feature name to window expression, in panel order."""
+    out = {}
     for d in drivers:
-        out += [frames.lag(d, k).alias(f"{d}_lag{k}h") for k in lags]
+        for k in lags:
+            out[f"{d}_lag{k}h"] = frames.lag(d, k)
         for w in rolls:
-            mean, std = frames.roll(d, w)
-            out += [mean.alias(f"{d}_rmean{w}h"), std.alias(f"{d}_rstd{w}h")]
+            out[f"{d}_rmean{w}h"], out[f"{d}_rstd{w}h"] = frames.roll(d, w)
     return out
 
 
@@ -146,25 +152,23 @@ def hourly_features(
 
     Drivers the table lacks are skipped. Output: keys, ts, ``_block``, carried columns, features,
     ``<name>_change`` per entry of ``changes`` and the phase flags when ``storm_driver`` is present.
+    The rows stay partitioned by (keys, ``_block``), so an aggregation by them needs no more shuffle.
     """
     present = [d for d in drivers if d in hourly.columns]
     changes = [c for c in changes if c in hourly.columns]
-    stormy = storm_driver is not None and storm_driver in hourly.columns
-    used = dict.fromkeys([*keys, ts, *present, *changes, *carry, *([storm_driver] if stormy else [])])
+    storm = [storm_driver] if storm_driver is not None and storm_driver in hourly.columns else []
+    used = dict.fromkeys([*keys, ts, *present, *changes, *carry, *storm])
     reach = max([*lags, *rolls, 1])
     blocks = in_time_blocks(
         hourly.select(*used), ts, reach, keys, block_days, step_seconds, gap_mode
     )
-    frames = PastFrames([*keys, TARGET], ts, gap_mode, step_seconds)
-    columns = lag_and_roll_columns(frames, present, lags, rolls)
-    columns += [frames.change(c).alias(f"{c}_change") for c in changes]
-    if stormy:
-        columns.append(frames.change(storm_driver).alias("_storm_change"))
-    out = blocks.select(*keys, ts, BLOCK, TARGET, *dict.fromkeys([*carry, *([storm_driver] if stormy else [])]), *columns)
-    out = out.where(F.col(TARGET) == F.col(BLOCK)).drop(TARGET)
-    if stormy:
-        flags = storm_phase(F.col(storm_driver), F.col("_storm_change"))
-        out = out.withColumns(flags).drop("_storm_change")
-        if storm_driver not in carry:
-            out = out.drop(storm_driver)
-    return out
+    frames = PastFrames([*keys, BLOCK], ts, gap_mode, step_seconds)
+    features = lag_and_roll_columns(frames, present, lags, rolls)
+    features.update({f"{c}_change": frames.change(c) for c in changes})
+    if storm:
+        features["_storm_change"] = frames.change(storm_driver)
+    kept = dict.fromkeys([*keys, ts, BLOCK, OWN, *carry, *storm])
+    out = blocks.select(*kept, *[F.expr(text).alias(name) for name, text in features.items()]).where(OWN)
+    if storm:
+        out = out.withColumns(storm_phase(F.col(storm_driver), F.col("_storm_change"))).drop("_storm_change")
+    return out.drop(OWN, *[c for c in storm if c not in carry])

@@ -77,7 +77,7 @@ def daily_features(hourly: DataFrame, config: PanelConfig = PanelConfig()) -> Da
     )
     own = {*config.keys, config.ts, BLOCK, *carry, *(f"{c}_change" for c in changes)}
     statistics = {
-        c: F.max(c) if c in PHASES else F.avg(c) for c in rows.columns if c not in own
+        c: F.expr(f"CAST(max(`{c}`) AS DOUBLE)" if c in PHASES else f"avg(`{c}`)") for c in rows.columns if c not in own
     }
     statistics.update(coupling_statistics(carry))
     daily = to_daily(rows, statistics, config.keys, config.ts, [BLOCK])
@@ -142,7 +142,7 @@ class FittedPanel:
         return df.select(
             *keep,
             *[
-                ((F.coalesce(F.col(f), F.lit(med)) - F.lit(mean)) / F.lit(std if std else 1.0)).alias(f)
+                F.expr(f"(coalesce(`{f}`, {med!r}D) - {mean!r}D) / {std or 1.0!r}D AS `{f}`")
                 for f, _, med, mean, std in self.params
             ],
         )
@@ -156,12 +156,11 @@ def fit_panel(train: DataFrame, features: Sequence[str]) -> FittedPanel:
     values and the number of nulls, so imputing needs no third pass.
     """
     features = list(features)
-    wide = train.select(*[F.col(f).cast("double").alias(f) for f in features]).persist(
+    wide = train.selectExpr(*[f"CAST(`{f}` AS DOUBLE) AS `{f}`" for f in features]).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
-        moments = [F.avg(f).alias(f"a{i}") for i, f in enumerate(features)]
-        moments += [F.var_pop(f).alias(f"v{i}") for i, f in enumerate(features)]
+        moments = [F.expr(f"{fn}(`{f}`) AS {a}{i}") for i, f in enumerate(features) for fn, a in (("avg", "a"), ("var_pop", "v"))]
         row = wide.agg(F.count(F.lit(1)).alias("rows"), *bracket_columns(features, 0.5), *moments).first()
         empty = [f for i, f in enumerate(features) if row[f"n{i}"] == 0]
         if empty:

@@ -238,19 +238,19 @@ def long_panel(spark, folder, config=CONFIG):
 
 @query(
     "daily_panel",
-    rounded_sql("FROM daily", " ".join(_FEATURES), texts="date", ctes=f"{LONG_SQL}, {daily_panel_sql(PANEL_DRIVERS, 'long_drivers')}"),
+    rounded_sql("FROM daily", " ".join(_FEATURES), texts="date", digits=6, ctes=f"{LONG_SQL}, {daily_panel_sql(PANEL_DRIVERS, 'long_drivers')}"),
 )
 def panel(spark, folder):
-    return rounded(daily_features(long_drivers(spark, folder), CONFIG))
+    return rounded(daily_features(long_drivers(spark, folder), CONFIG), 6)
 
 
 @query(
     "align_panel",
-    rounded_sql("FROM aligned WHERE fold = 'val'", " ".join(_FEATURES[:20]), "target", "date fold", ctes=aligned_sql()),
+    rounded_sql("FROM aligned WHERE fold = 'val'", " ".join(_FEATURES[:20]), "target", "date fold", digits=6, ctes=aligned_sql()),
 )
 def align(spark, folder):
     rows = long_panel(spark, folder).where("fold = 'val'")
-    return rounded(rows.select("date", "fold", "target", *_FEATURES[:20]))
+    return rounded(rows.select("date", "fold", "target", *_FEATURES[:20]), 6)
 
 
 _IMPUTED = ", ".join(f"coalesce({f}, (SELECT median({f}) FROM aligned WHERE fold = 'train')) AS {f}" for f in _FEATURES)

@@ -60,7 +60,7 @@ def long_drivers(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy(F.date_trunc("day", F.col("l_shipdate").cast("timestamp")).alias("ts"))
         .agg(
             (F.avg("l_quantity") - 25.0).alias("Bz_gsm"),
-            (F.avg("l_extendedprice") / 100.0).alias("flow_speed"),
+            (F.avg("l_extendedprice") / 97.0).alias("flow_speed"),
             (F.avg("l_tax") * 100.0).alias("proton_density"),
             (F.avg("l_discount") * 100.0).alias("flow_pressure"),
             (-F.avg(F.when(flag == "R", F.col("l_quantity")))).alias("Dst"),
@@ -73,7 +73,7 @@ def long_drivers(spark: SparkSession, folder: str) -> DataFrame:
 LONG_DRIVERS = ["Bz_gsm", "flow_speed", "proton_density", "flow_pressure", "Dst", "Kp_real", "AE"]
 LONG_SQL = """long_drivers AS (
   SELECT date_trunc('day', l_shipdate) AS ts,
-    avg(l_quantity) - 25.0 AS Bz_gsm, avg(l_extendedprice) / 100.0 AS flow_speed,
+    avg(l_quantity) - 25.0 AS Bz_gsm, avg(l_extendedprice) / 97.0 AS flow_speed,
     avg(l_tax) * 100.0 AS proton_density, avg(l_discount) * 100.0 AS flow_pressure,
     -avg(l_quantity) FILTER (WHERE l_returnflag = 'R') AS Dst,
     avg(l_quantity) FILTER (WHERE l_returnflag = 'A') / 5.0 AS Kp_real,
@@ -197,19 +197,19 @@ def rounded(df: DataFrame, digits: int = 8) -> DataFrame:
     """Round doubles and write dates as text, so that engines that sum in another order compare equal."""
     out = []
     for name, kind in df.dtypes:
-        c = F.col(name)
         if kind in ("double", "float"):
             # adding 0.0 turns a negative zero into zero
-            out.append((F.round(c.cast("double"), digits) + F.lit(0.0)).alias(name))
+            text = f"round(CAST(`{name}` AS DOUBLE), {digits}) + 0.0D"
         elif kind == "date":
-            out.append(F.date_format(c, "yyyy-MM-dd").alias(name))
+            text = f"date_format(`{name}`, 'yyyy-MM-dd')"
         elif kind.startswith("timestamp"):
-            out.append(F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(name))
+            text = f"date_format(`{name}`, 'yyyy-MM-dd HH:mm:ss')"
         elif kind in ("int", "smallint", "tinyint", "boolean"):
-            out.append(c.cast("bigint").alias(name))
+            text = f"CAST(`{name}` AS BIGINT)"
         else:
-            out.append(c)
-    return df.select(*out)
+            text = f"`{name}`"
+        out.append(f"{text} AS `{name}`")
+    return df.selectExpr(*out)
 
 
 def rounded_sql(body: str, doubles: str = "", ints: str = "", texts: str = "", digits: int = 8, ctes: str = "") -> str:
