@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from dayrisk.operators.order_stats import row_positions
+from dayrisk.operators.order_stats import date_order, row_positions
+
+
+def _by_date(df: DataFrame, date: str, tie: str | None, by: list[str] | tuple = ()) -> DataFrame:
+    return row_positions(df, date_order(date, tie), [tie] if tie else [], by)
 
 
 def holdout_cut(df: DataFrame, share: float = 0.8, date: str = "date", tie: str | None = None) -> DataFrame:
     """``part`` = 'fit' for the first ``floor(share * n)`` rows by date, else 'calibrate'."""
-    placed = row_positions(df, date, tie)
+    placed = _by_date(df, date, tie)
     early = F.col("position") <= F.floor(F.col("size") * F.lit(share))
     return placed.withColumn("part", F.when(early, "fit").otherwise("calibrate")).drop("position", "size")
 
@@ -19,7 +23,7 @@ def expanding_folds(df: DataFrame, splits: int = 5, date: str = "date", tie: str
 
     Fold k is tested on ``test_fold == k`` after training on ``test_fold < k``.
     """
-    placed = row_positions(df, date, tie)
+    placed = _by_date(df, date, tie)
     width = F.floor(F.col("size") / F.lit(splits + 1))
     first = F.col("size") - width * splits
     fold = F.when(F.col("position") <= first, F.lit(0)).otherwise(
@@ -36,7 +40,7 @@ def stratified_folds(
     How many rows of a class each fold gets follows the rule of dealing the class-sorted labels out
     to the folds in turn; the classes are ordered by first appearance.
     """
-    placed = row_positions(df, date, tie, by=[label])
+    placed = _by_date(df, date, tie, [label])
     per_class = (
         placed.groupBy(label)
         .agg(F.max("size").alias("n"), F.min(date).alias("first"))

@@ -154,12 +154,12 @@ def date_order(date: str, tie: str | None = None) -> Column:
 
 
 def row_positions(
-    df: DataFrame, date: str = "date", tie: str | None = None, by: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame, order: Column, ties: Sequence[str] = (), by: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
-    """Add 1-based ``position`` by date within ``by`` and the group size ``size``."""
+    """Add 1-based ``position`` along a numeric ``order``, then ``ties``, within ``by``; and the group ``size``."""
     by = list(by)
-    keyed = in_ranges(df.withColumn("_key", date_order(date, tie)), "_key", rows_per_range)
-    inside = Window.partitionBy(*by, RANGE).orderBy("_key", *([tie] if tie else []))
+    keyed = in_ranges(df.withColumn("_key", order), "_key", rows_per_range)
+    inside = Window.partitionBy(*by, RANGE).orderBy("_key", *ties)
     groups = Window.partitionBy(*by)
     earlier = groups.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
