@@ -22,7 +22,7 @@ DEEPEST = 30  # Spark's limit; stands for unlimited depth
 Scorer = Callable[[DataFrame], DataFrame]  # adds column p
 
 
-def _vector_scorer(model, features: Sequence[str]) -> Scorer:
+def scorer_of(model, features: Sequence[str]) -> Scorer:
     names = list(features)
 
     def score(df: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def forest(
     model = RandomForestClassifier(
         numTrees=trees, maxDepth=DEEPEST, featureSubsetStrategy="sqrt", weightCol="weight", seed=seed, maxMemoryInMB=1024
     ).fit(data)
-    return Fitted("forest", model, _vector_scorer(model, features))
+    return Fitted("forest", model, scorer_of(model, features))
 
 
 def boosting(
@@ -60,7 +60,7 @@ def boosting(
     """Gradient-boosted shallow trees, unweighted."""
     data = vectors(df, features, [F.col(y).cast("double").alias("label")])
     model = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed).fit(data)
-    return Fitted("boosting", model, _vector_scorer(model, features))
+    return Fitted("boosting", model, scorer_of(model, features))
 
 
 def logit(df: DataFrame, features: Sequence[str], y: str = "y", C: float = 1.0) -> Fitted:
