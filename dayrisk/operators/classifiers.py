@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, functions as F
 from dayrisk.constants import SEED
 from dayrisk.operators.calibration import isotonic_fit, isotonic_predict, platt_fit, platt_predict
 from dayrisk.operators.folds import stratified_folds
-from dayrisk.operators.linear import LinearFit, balanced_weights, fit_logit, vectors
+from dayrisk.operators.linear import balanced_weights, fit_logit, vectors
+from dayrisk.session import side_by_side
 
 DEEPEST = 30  # Spark's limit; stands for unlimited depth
 
@@ -110,12 +112,11 @@ def kernel_machine(
             return LinearSVC(regParam=1.0 / (C * size), weightCol="weight", standardization=False, maxIter=100).fit(rows)
 
         margin = F.get(vector_to_array("rawPrediction"), F.lit(1)).alias("margin")
-        held = None
-        for k in range(folds):
-            part = fit(data.where(F.col("cv_fold") != k)).transform(data.where(F.col("cv_fold") == k)).select("label", margin)
-            held = part if held is None else held.unionByName(part)
-        slope, intercept = platt_fit(held, "label", "margin")
-        model = fit(data)
+        *fold_models, model = side_by_side(
+            lambda k: fit(data if k == folds else data.where(F.col("cv_fold") != k)), range(folds + 1)
+        )
+        parts = [m.transform(data.where(F.col("cv_fold") == k)).select("label", margin) for k, m in enumerate(fold_models)]
+        slope, intercept = platt_fit(reduce(DataFrame.unionByName, parts), "label", "margin")
     finally:
         data.unpersist()
 
@@ -132,11 +133,12 @@ def calibrated_logit(
     """Per stratified fold a logit on the rest and an isotonic curve on the fold; probabilities averaged."""
     data = stratified_folds(df, y, folds, date).persist()
     try:
-        members = []
-        for k in range(folds):
+        def member(k: int):
             fit = fit_logit(data.where(F.col("cv_fold") != k), features, y, C)
             held = data.where(F.col("cv_fold") == k).select(F.col(y).alias("y"), fit.probability().alias("p"))
-            members.append((fit, isotonic_fit(held)))
+            return fit, isotonic_fit(held)
+
+        members = side_by_side(member, range(folds))
     finally:
         data.unpersist()
 

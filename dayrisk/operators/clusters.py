@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from dayrisk.constants import SEED
 from dayrisk.operators.linear import vectors
+from dayrisk.session import ensure_checkpoint_dir, side_by_side
 
 
 @dataclass(frozen=True)
@@ -46,13 +46,11 @@ def fit_pca(df: DataFrame, features: Sequence[str], k: int = 3) -> Projection:
 
 def kmeans(df: DataFrame, features: Sequence[str], k: int, starts: int = 20, seed: int = SEED, parallelism: int = 8):
     """The cheapest of several seeded K-means fits; returns the model. Fits run side by side."""
-    data = vectors(df, features, []).persist()
+    ensure_checkpoint_dir(df.sparkSession)
+    data = vectors(df, features, []).checkpoint().persist()  # short lineage for many small jobs
     try:
-        data.count()
         fit = lambda i: KMeans(k=k, seed=seed + i, maxIter=100).fit(data)
-        with ThreadPool(min(parallelism, starts)) as pool:
-            models = pool.map(fit, range(starts))
-        return min(models, key=lambda m: m.summary.trainingCost)
+        return min(side_by_side(fit, range(starts), parallelism), key=lambda m: m.summary.trainingCost)
     finally:
         data.unpersist()
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from dayrisk.constants import SEED
@@ -20,10 +23,28 @@ from dayrisk.operators.order_stats import first_best
 from dayrisk.operators.ransac import fit_ransac
 from dayrisk.plans.baselines import climatology, persistence
 from dayrisk.plans.panel import feature_groups
+from dayrisk.session import side_by_side
 
 Fit = Callable[[DataFrame, Sequence[str], str], Fitted]
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Hold a narrow intermediate while several jobs read it."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
+def metric_rows(scores: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
+    """:func:`evaluate` on model scores, which are computed once and not once per metric. A row per group."""
+    with kept(scores) as held:
+        rows = evaluate(held, by=by)
+        return scores.sparkSession.createDataFrame(rows.collect(), rows.schema)
+
+
 def in_fold(panel: DataFrame, name: str) -> DataFrame:
     return panel.where(F.col("fold") == name)
 
@@ -35,12 +56,12 @@ def cross_validated_auc(train: DataFrame, features: Sequence[str], fit: Fit, spl
     """
     rows = expanding_folds(train, splits).persist()
     try:
-        scored = None
-        for k in range(1, splits + 1):
+        def fold(k: int) -> DataFrame:
             model = fit(rows.where(F.col("test_fold") < k), features, y)
-            part = model.score(rows.where(F.col("test_fold") == k)).select("test_fold", F.col(y).alias("y"), "p")
-            scored = part if scored is None else scored.unionByName(part)
-        aucs = [r["roc_auc"] for r in ranking_scores(scored, by=["test_fold"]).collect()]
+            return model.score(rows.where(F.col("test_fold") == k)).select("test_fold", F.col(y).alias("y"), "p")
+
+        with kept(reduce(DataFrame.unionByName, side_by_side(fold, range(1, splits + 1)))) as scored:
+            aucs = [r["roc_auc"] for r in ranking_scores(scored, by=["test_fold"]).collect()]
     finally:
         rows.unpersist()
     if len(aucs) < splits or any(a is None for a in aucs):
@@ -53,13 +74,15 @@ def compare_models(
 ) -> DataFrame:
     """One row per model: cross-validated AUC and scores on a later fold, all models scored in one job."""
     train, later = in_fold(panel, "train"), in_fold(panel, score_on)
-    scored, cv_rows = None, []
-    for name, fit in fits.items():
+
+    def one(item: tuple[str, Fit]):
+        name, fit = item
         part = fit(train, features, y).score(later).select(F.lit(name).alias("model"), F.col(y).alias("y"), "p")
-        scored = part if scored is None else scored.unionByName(part)
-        cv_rows.append((name, cross_validated_auc(train, features, fit, y=y) if cv else None))
-    validated = panel.sparkSession.createDataFrame(cv_rows, "model string, cv_roc_auc double")
-    return evaluate(scored).join(F.broadcast(validated), "model")  # one row per model
+        return part, (name, cross_validated_auc(train, features, fit, y=y) if cv else None)
+
+    parts, cv_rows = zip(*side_by_side(one, fits.items()))
+    validated = panel.sparkSession.createDataFrame(list(cv_rows), "model string, cv_roc_auc double")
+    return metric_rows(reduce(DataFrame.unionByName, parts)).join(F.broadcast(validated), "model")  # one row per model
 
 
 def select_model(comparison: DataFrame, digits: int = 3) -> str:
@@ -82,13 +105,15 @@ def ablation_sets(columns: Sequence[str]) -> dict[str, list[str]]:
 def ablation(panel: DataFrame, sets: Mapping[str, Sequence[str]], fit: Fit, y: str = "target") -> DataFrame:
     """The same model on nested feature sets; rows stay fixed."""
     train, later = in_fold(panel, "train"), in_fold(panel, "val")
-    scored = None
-    for name, columns in sets.items():
-        part = fit(train, columns, y).score(later).select(
+
+    def rung(item: tuple[str, Sequence[str]]) -> DataFrame:
+        name, columns = item
+        return fit(train, columns, y).score(later).select(
             F.lit(name).alias("feature_set"), F.lit(len(columns)).cast("bigint").alias("n_cols"), F.col(y).alias("y"), "p"
         )
-        scored = part if scored is None else scored.unionByName(part)
-    return evaluate(scored, by=["feature_set", "n_cols"]).select("feature_set", "n_cols", "roc_auc", "tss")
+
+    scored = reduce(DataFrame.unionByName, side_by_side(rung, sets.items()))
+    return metric_rows(scored, by=["feature_set", "n_cols"]).select("feature_set", "n_cols", "roc_auc", "tss")
 
 
 def regressor_table(
@@ -100,14 +125,15 @@ def regressor_table(
     products = interaction_names(features)
     crossed = interactions(rows, list(features), keep=[key, "fold", y])
     day = train.withColumn("_key", F.xxhash64(key))
-    fits = {
-        "OLS": fit_ols(train, features, y),
-        "Ridge": fit_ridge(train, features, y, 1.0),
-        "Lasso": fit_lasso(train, features, y, 0.1),
-        "ElasticNet": fit_elastic_net(train, features, y, 0.1, 0.5),
-        "Poly(2)+Ridge": fit_ridge(in_fold(crossed, "train"), products, y, 10.0),
-        "RANSAC": fit_ransac(day, features, "_key", y, threshold=ransac_threshold, trials=200, seed=SEED),
+    jobs = {
+        "OLS": lambda: fit_ols(train, features, y),
+        "Ridge": lambda: fit_ridge(train, features, y, 1.0),
+        "Lasso": lambda: fit_lasso(train, features, y, 0.1),
+        "ElasticNet": lambda: fit_elastic_net(train, features, y, 0.1, 0.5),
+        "Poly(2)+Ridge": lambda: fit_ridge(in_fold(crossed, "train"), products, y, 10.0),
+        "RANSAC": lambda: fit_ransac(day, features, "_key", y, threshold=ransac_threshold, trials=200, seed=SEED),
     }
+    fits = dict(zip(jobs, side_by_side(lambda job: job(), jobs.values())))
     wide = in_fold(crossed, "val").select(y, *[f.score().alias(f"m{i}") for i, f in enumerate(fits.values())])
     long = long_scores(wide, {name: f"m{i}" for i, name in enumerate(fits)}, keep=[y])
     return regression_scores(long, y, "p", by=["model"])
@@ -135,7 +161,7 @@ def calibrations(panel: DataFrame, features: Sequence[str], fit: Fit, alpha: flo
 
 
 def calibration_table(scores: DataFrame) -> DataFrame:
-    return evaluate(scores).select("model", "brier", "ece", "roc_auc")
+    return metric_rows(scores).select("model", "brier", "ece", "roc_auc")
 
 
 class LockedTest:
@@ -164,7 +190,7 @@ class LockedTest:
         same = persistence(test, self.labels, self.label).select("y", F.col("predicted").cast("double").alias("p"))
         flat = climatology(test, in_fold(self.panel, "train"), self.y).select("y", "p")
         named = lambda df, name: df.select(F.lit(name).alias("model"), "y", "p")
-        rows = evaluate(named(same, "persistence").unionByName(named(flat, "climatology")).unionByName(named(self.scores("test"), "model")))
+        rows = metric_rows(named(same, "persistence").unionByName(named(flat, "climatology")).unionByName(named(self.scores("test"), "model")))
         is_same, is_flat = F.col("model") == "persistence", F.col("model") == "climatology"
         return rows.select(
             "model",
@@ -190,4 +216,4 @@ def slice_rerun(panel: DataFrame, features: Sequence[str], fit: Fit, y: str = "t
     model = fit(in_fold(panel, "train"), features, y)
     scored = model.score(in_fold(panel, "test")).select(F.lit("slice").alias("model"), F.col(y).alias("y"), "p")
     positives = scored.groupBy("model").agg(F.sum("y").cast("bigint").alias("test_positives"))
-    return evaluate(scored).join(positives, "model").select("model", "test_positives", "base_rate", "roc_auc", "tss")
+    return metric_rows(scored).join(positives, "model").select("model", "test_positives", "base_rate", "roc_auc", "tss")

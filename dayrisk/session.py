@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
+from collections.abc import Callable, Iterable
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -37,3 +41,10 @@ def local_session(cpus: int | str = "*", app: str = "dayrisk") -> SparkSession:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def side_by_side(job: Callable, items: Iterable, parallelism: int = 8) -> list:
+    """Run independent fits as concurrent Spark jobs, so small ones do not wait for each other."""
+    items = list(items)
+    with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(job), items)

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dayrisk.functions.cleaning import complete_cases
 from dayrisk.operators import classifiers as c
 from dayrisk.operators import clusters
-from dayrisk.operators.calibration import isotonic_fit, platt_fit, platt_predict
+from dayrisk.operators.calibration import platt_fit, platt_predict
 from dayrisk.operators.daily import to_daily
 from dayrisk.operators.density import dbscan
 from dayrisk.operators.labels import daily_event_counts, fold_column
-from dayrisk.operators.linear import fit_elastic_net, fit_lasso, fit_logit, fit_ols, fit_ridge
+from dayrisk.operators.linear import fit_elastic_net, fit_lasso, fit_ols, fit_ridge
 from dayrisk.operators.metrics import evaluate
 from dayrisk.operators.ransac import fit_ransac
 from dayrisk.plans import study
@@ -20,6 +19,7 @@ from dayrisk.plans.panel import FittedPanel, PanelConfig, align_target, daily_fe
 from dayrisk.plans.scoring import scenario_rows, score_scenarios
 from dayrisk.sources.bundle import Bundle
 from dayrisk.sources.run_metrics import long_metrics
+from dayrisk.session import ensure_checkpoint_dir
 from registry.core import query
 from registry.features import _FEATURES, _lag, CONFIG, long_panel
 from registry.inputs import (
@@ -28,6 +28,9 @@ from registry.inputs import (
 from registry.scoring import _EVALUATE, _EVALUATED
 
 BASE = [f for f in _FEATURES if f not in feature_groups(_FEATURES)["coupling"]]
+FITS = {"logit": c.logit, "forest": c.forest, "boosting": c.boosting, "kernel": c.kernel_machine, "calibrated_logit": c.calibrated_logit}
+_LOCKED: dict[tuple[str, str], study.LockedTest] = {}
+_MODELS: dict[tuple[str, str, str], c.Fitted] = {}
 _KEPT: dict[tuple[str, str], tuple[FittedPanel, DataFrame]] = {}
 
 
@@ -35,12 +38,11 @@ def scaled_panel(spark: SparkSession, folder: str) -> tuple[FittedPanel, DataFra
     """The scaled long panel with all folds, built once per session and kept for all model queries."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _KEPT:
-        rows = long_panel(spark, folder).where("fold IS NOT NULL").persist()
+        # a fit is dozens of small jobs; on a checkpointed panel none of them carries the panel's lineage
+        ensure_checkpoint_dir(spark)
+        rows = long_panel(spark, folder).where("fold IS NOT NULL").checkpoint()
         fitted = fit_panel(rows.where("fold = 'train'"), _FEATURES)
-        scaled = fitted.transform(rows, ["date", "fold", "target"]).persist()
-        scaled.count()
-        rows.unpersist()
-        _KEPT[key] = fitted, scaled
+        _KEPT[key] = fitted, fitted.transform(rows, ["date", "fold", "target"]).checkpoint()
     return _KEPT[key]
 
 
@@ -52,10 +54,19 @@ def _train(spark, folder):
     return _panel(spark, folder).where("fold = 'train'")
 
 
-def _validated(spark, folder, model: c.Fitted) -> DataFrame:
+def _model(spark, folder, name: str) -> c.Fitted:
+    """A model fitted on train, once per session."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _MODELS:
+        _MODELS[key] = FITS[name](_train(spark, folder), BASE, "target")
+    return _MODELS[key]
+
+
+def _validated(spark, folder, name: str) -> DataFrame:
     """Metric row of a fitted model on the validation fold."""
+    model = _model(spark, folder, name)
     val = _panel(spark, folder).where("fold = 'val'")
-    return evaluate(model.score(val).select(F.lit(model.name).alias("model"), F.col("target").alias("y"), "p"))
+    return study.metric_rows(model.score(val).select(F.lit(model.name).alias("model"), F.col("target").alias("y"), "p"))
 
 
 # --- linear models with one feature have a closed form ------------------------------------------
@@ -84,7 +95,7 @@ for _name, _fit, _slope in (
 
 @query("logit")
 def logit(spark, folder):
-    fit = fit_logit(_train(spark, folder), BASE, "target")
+    fit = _model(spark, folder, "logit").model
     return spark.createDataFrame(list(zip(fit.features, fit.weights)), "feature string, weight double")
 
 
@@ -111,22 +122,22 @@ def ransac(spark, folder):
 
 @query("forest")
 def random_forest(spark, folder):
-    return _validated(spark, folder, c.forest(_train(spark, folder), BASE, "target"))
+    return _validated(spark, folder, "forest")
 
 
 @query("boosting")
 def gradient_boosting(spark, folder):
-    return _validated(spark, folder, c.boosting(_train(spark, folder), BASE, "target"))
+    return _validated(spark, folder, "boosting")
 
 
 @query("rff_svm")
 def kernel(spark, folder):
-    return _validated(spark, folder, c.kernel_machine(_train(spark, folder), BASE, "target"))
+    return _validated(spark, folder, "kernel")
 
 
 @query("calibrated_logit")
 def averaged_logit(spark, folder):
-    return _validated(spark, folder, c.calibrated_logit(_train(spark, folder), BASE, "target"))
+    return _validated(spark, folder, "calibrated_logit")
 
 
 @query("cv_auc")
@@ -137,8 +148,8 @@ def time_series_auc(spark, folder):
 
 @query("model_table")
 def model_table(spark, folder):
-    """Several models fitted on train and scored on val in one table."""
-    fits = {"logit": c.logit, "calibrated logit": c.calibrated_logit, "forest": c.forest}
+    """All classifiers, fitted on train, scored on val in one table."""
+    fits = {name: lambda rows, features, y, name=name: _model(spark, folder, name) for name in FITS}
     return study.compare_models(_panel(spark, folder), BASE, fits, cv=False)
 
 
@@ -160,16 +171,21 @@ def recalibrated(spark, folder):
     return study.calibration_table(study.calibrations(_panel(spark, folder), BASE, c.logit))
 
 
+def _locked(spark, folder) -> study.LockedTest:
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _LOCKED:
+        _LOCKED[key] = study.LockedTest(_panel(spark, folder), rare_labels(spark, folder), BASE, c.logit)
+    return _LOCKED[key]
+
+
 @query("locked_test_report")
 def locked(spark, folder):
-    test = study.LockedTest(_panel(spark, folder), rare_labels(spark, folder), BASE, c.logit)
-    return test.report()
+    return _locked(spark, folder).report()
 
 
 @query("locked_test_points")
 def locked_points(spark, folder):
-    test = study.LockedTest(_panel(spark, folder), rare_labels(spark, folder), BASE, c.logit)
-    return test.operating_points()
+    return _locked(spark, folder).operating_points()
 
 
 @query("slice_rerun")
@@ -220,7 +236,8 @@ def phase_test(spark, folder):
 @query("lr_test_regimes")
 def regimes(spark, folder):
     labels = rare_labels(spark, folder).where(F.col("date") <= F.lit(LONG_CUTS["train"]).cast("date"))
-    return regimes_beyond_index(long_drivers(spark, folder), labels)
+    # three starts: the spreading initialisation rarely needs more, and each start is dozens of jobs
+    return regimes_beyond_index(long_drivers(spark, folder), labels, starts=3)
 
 
 # --- clusters -----------------------------------------------------------------------------------
@@ -248,7 +265,7 @@ def pca(spark, folder):
 def kmeans(spark, folder):
     rows = _projected(spark, folder)
     axes = ["pc1", "pc2", "pc3"]
-    found = clusters.assign(rows, clusters.kmeans(rows, axes, 5), axes)
+    found = clusters.assign(rows, clusters.kmeans(rows, axes, 5, starts=8), axes)
     return found.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("target").alias("rate"))
 
 
@@ -303,7 +320,7 @@ def silhouette_one_pass(spark, folder):
 def _bundle(spark, folder) -> Bundle:
     fitted, panel = scaled_panel(spark, folder)
     base = FittedPanel([p for p in fitted.params if p[0] in set(BASE)])
-    test = study.LockedTest(panel, rare_labels(spark, folder), BASE, c.logit)
+    test = _locked(spark, folder)
     return Bundle(base, test.model, test.curve, test.margin())
 
 
