@@ -12,9 +12,10 @@ SALTS = 16
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(node, label)`` with the smallest node of its component as label.
 
-    ``edges(a, b)`` holds every edge once. Each round takes the smallest label among neighbours and
-    then follows labels twice over, so chains of any length close in logarithmically many rounds.
-    Many nodes share one label, so the join that follows labels is salted.
+    ``edges(a, b)`` holds every edge once. In each round a node and the node its label names both take
+    the smallest label seen among the node's neighbours, then labels are followed once. Whole regions
+    merge at a time, so long chains close in logarithmically many rounds. Many nodes share one
+    label: proposals to it are combined before the shuffle, and the join that follows it is salted.
     """
     ensure_checkpoint_dir(nodes.sparkSession)
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).checkpoint()
@@ -25,25 +26,27 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("label").alias("near"))
         )
-        lower = labels.join(near, "node", "left").select(
+        told = F.explode(F.array("node", "label")).alias("node")
+        proposals = labels.join(near, "node").select(told, "near").groupBy("node").agg(F.min("near").alias("near"))
+        hooked = labels.join(proposals, "node", "left").select(
             "node", "label", F.least("label", F.coalesce("near", "label")).alias("new")
-        )
-        step = _follow(_follow(lower)).select("node", F.col("new").alias("label"), (F.col("new") != F.col("label")).alias("changed"))
-        step = step.checkpoint()
-        labels = step.select("node", "label")
-        if step.where("changed").isEmpty():
+        ).checkpoint()
+        if hooked.where(F.col("new") != F.col("label")).isEmpty():
             return labels
+        labels = _follow(hooked).select("node", F.col("new").alias("label")).checkpoint()
 
 
 def _follow(state: DataFrame) -> DataFrame:
     """Replace each new label by the new label of the node it names."""
     salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
-    named = state.join(state.select(F.col("new").alias("node")).distinct(), "node", "left_semi")
-    jump = named.select(
+    named = state.select(F.col("new").alias("node")).distinct()
+    # a node that names itself leads nowhere further
+    moved = state.where(F.col("new") != F.col("node")).join(named, "node", "left_semi")
+    jump = moved.select(
         F.col("node").alias("new"), F.col("new").alias("further"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     )
     return (
         state.withColumn("_salt", salt)
         .join(jump, ["new", "_salt"], "left")
-        .select("node", "label", F.least("new", F.coalesce("further", "new")).alias("new"))
+        .select("node", F.least("new", F.coalesce("further", "new")).alias("new"))
     )
