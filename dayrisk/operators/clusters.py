@@ -55,15 +55,40 @@ def kmeans(df: DataFrame, features: Sequence[str], k: int, starts: int = 20, see
         data.unpersist()
 
 
-def bisecting(df: DataFrame, features: Sequence[str], k: int = 5, seed: int = SEED):
-    """Hierarchical clusters by repeated splitting."""
-    return BisectingKMeans(k=k, seed=seed, minDivisibleClusterSize=1.0).fit(vectors(df, features, []))
+@dataclass(frozen=True)
+class ShiftedModel:
+    """A cluster model fitted on features moved by a constant."""
+
+    model: object
+    shifts: tuple[float, ...]
+
+    def moved(self, features: Sequence[str]) -> list:
+        return [(F.col(f) + F.lit(s)).alias(f"_s{i}") for i, (f, s) in enumerate(zip(features, self.shifts))]
+
+
+def bisecting(df: DataFrame, features: Sequence[str], k: int = 5, seed: int = SEED) -> ShiftedModel:
+    """Hierarchical clusters by repeated splitting.
+
+    Spark starts a split by moving the centre a small fraction of its own length, which does nothing
+    to a centre at the origin, where centred projections have theirs. Distances do not
+    mind a shift, so the features are moved away from the origin by ten times their deviation.
+    """
+    row = df.selectExpr(*[f"stddev_pop(`{f}`) AS s{i}" for i, f in enumerate(features)]).first()
+    spread = max((row[f"s{i}"] or 0.0) for i in range(len(features))) or 1.0
+    shifted = ShiftedModel(None, (10.0 * spread,) * len(features))
+    names = [f"_s{i}" for i in range(len(features))]
+    data = vectors(df.select(*shifted.moved(features)), names, [])
+    model = BisectingKMeans(k=k, seed=seed, minDivisibleClusterSize=1.0).fit(data)
+    return ShiftedModel(model, shifted.shifts)
 
 
 def assign(df: DataFrame, model, features: Sequence[str], out: str = "cluster") -> DataFrame:
-    assembled = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-    named = model.copy({model.predictionCol: out})
-    return named.transform(assembled).select(*df.columns, out)
+    if isinstance(model, ShiftedModel):
+        rows, names, fitted = df.select("*", *model.moved(features)), [f"_s{i}" for i in range(len(features))], model.model
+    else:
+        rows, names, fitted = df, list(features), model
+    assembled = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
+    return fitted.copy({fitted.predictionCol: out}).transform(assembled).select(*df.columns, out)
 
 
 def rate_spread(df: DataFrame, y: str = "y", cluster: str = "cluster") -> DataFrame:

@@ -47,4 +47,4 @@ def side_by_side(job: Callable, items: Iterable, parallelism: int = 8) -> list:
     """Run independent fits as concurrent Spark jobs, so small ones do not wait for each other."""
     items = list(items)
     with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
-        return pool.map(inheritable_thread_target(job), items)
+        return pool.map(inheritable_thread_target(SparkSession.active())(job), items)
