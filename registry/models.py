@@ -15,7 +15,7 @@ from dayrisk.operators.metrics import evaluate
 from dayrisk.operators.ransac import fit_ransac
 from dayrisk.plans import study
 from dayrisk.plans.hypotheses import events_with_phase, next_day_odds, phase_by_class, regimes_beyond_index
-from dayrisk.plans.panel import FittedPanel, PanelConfig, align_target, daily_features, feature_groups, fit_panel
+from dayrisk.plans.panel import FittedPanel, align_target, daily_features, feature_groups, fit_panel
 from dayrisk.plans.scoring import scenario_rows, score_scenarios
 from dayrisk.sources.bundle import Bundle
 from dayrisk.sources.run_metrics import long_metrics

@@ -13,7 +13,7 @@ from dayrisk.operators.metrics import ranking_scores
 from dayrisk.plans import study
 from dayrisk.plans.baselines import climatology, persistence
 from dayrisk.plans.hypotheses import next_day_odds, phase_by_class, regimes_beyond_index
-from dayrisk.plans.panel import FittedPanel, PanelConfig, daily_features, fit_panel
+from dayrisk.plans.panel import PanelConfig, daily_features, fit_panel
 from dayrisk.plans.scoring import rows_for_dates, scenario_rows, score_dates, score_scenarios
 from dayrisk.sources.bundle import Bundle
 from dayrisk.sources.run_metrics import append_metrics, long_metrics, read_metrics
