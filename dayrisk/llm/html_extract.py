@@ -49,26 +49,33 @@ def hint(element: Element, memo: dict[int, float]) -> float:
     The innermost word counts, except that readers' comments and forms stay outside whatever they contain, and that a header
     inside an article belongs to it.
     """
-    if element.number in memo:
-        return memo[element.number]
-    above = hint(element.parent, memo) if element.parent is not None else 0.0
-    own = above
-    if element.tag not in LAYOUT_TAGS:
-        parts = _parts(element.words)
-        if parts & COMMENT_WORDS or element.tag == "form":
-            own = -2 * HINT
-        elif above <= -2 * HINT:
-            own = above
-        elif element.tag in OUTSIDE_TAGS or (element.tag == "header" and above <= 0):
-            own = -HINT
-        elif element.tag in ARTICLE_TAGS:
-            own = HINT
-        elif parts & OUTSIDE_WORDS and not (above > 0 and element.tag in ("header", "h1", "h2")):
-            own = -HINT
-        elif element.words & ARTICLE_WORDS and above >= 0:
-            own = HINT
-    memo[element.number] = own
-    return own
+    chain, x = [], element
+    while x is not None and x.number not in memo:
+        chain.append(x)
+        x = x.parent
+    above = memo[x.number] if x is not None else 0.0
+    for x in reversed(chain):
+        above = memo[x.number] = _hint_below(above, x)
+    return above
+
+
+def _hint_below(above: float, element: Element) -> float:
+    if element.tag in LAYOUT_TAGS:
+        return above
+    parts = _parts(element.words)
+    if parts & COMMENT_WORDS or element.tag == "form":
+        return -2 * HINT
+    if above <= -2 * HINT:
+        return above
+    if element.tag in OUTSIDE_TAGS or (element.tag == "header" and above <= 0):
+        return -HINT
+    if element.tag in ARTICLE_TAGS:
+        return HINT
+    if parts & OUTSIDE_WORDS and not (above > 0 and element.tag in ("header", "h1", "h2")):
+        return -HINT
+    if element.words & ARTICLE_WORDS and above >= 0:
+        return HINT
+    return above
 
 
 def shape(block: Block) -> list[float]:
