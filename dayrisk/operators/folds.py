@@ -8,7 +8,9 @@ from dayrisk.operators.order_stats import date_order, row_positions
 
 
 def _by_date(df: DataFrame, date: str, tie: str | None, by: list[str] | tuple = ()) -> DataFrame:
-    return row_positions(df, date_order(date, tie), [tie] if tie else [], by)
+    """Positions by date, then by the hash of ``tie`` or of the whole row, so that one date is no hot range."""
+    spread = F.xxhash64(tie) if tie else F.xxhash64(*df.columns)
+    return row_positions(df, date_order(date, spread), [tie] if tie else [], by)
 
 
 def holdout_cut(df: DataFrame, share: float = 0.8, date: str = "date", tie: str | None = None) -> DataFrame:

@@ -19,12 +19,13 @@ def daily_event_counts(
     date: str = "anomaly_date",
     code: str = "ADIAG",
     entity: str = "BIRD",
+    other: bool = False,
 ) -> DataFrame:
     """Event counts, per-class counts and the two daily flags in one aggregation.
 
     ``n_anomalies`` counts rows, ``n_<class>`` counts rows with an entity, so the two may differ.
     Days enter the panel through a counted row or a row with a class; ``fill`` adds the quiet days.
-    The class list is fixed, so the schema does not depend on the data.
+    The class list is fixed, so the schema does not depend on the data; ``other`` adds ``n_other``, the count of all other classes.
     """
     counted = F.col("is_environmental") if only_environmental else F.lit(True)
     names = {c: f"n_{c.lower()}" for c in classes}
@@ -37,9 +38,10 @@ def daily_event_counts(
                 F.count_if((F.col(code) == c) & F.col(entity).isNotNull()).alias(n)
                 for c, n in names.items()
             ],
+            *[F.count_if(~F.col(code).isin(*classes) & F.col(entity).isNotNull()).alias("n_other")] * other,
         )
     )
-    counts = ["n_anomalies", *names.values()]
+    counts = ["n_anomalies", *names.values(), *["n_other"] * other]
     if fill:
         panel = fill_calendar(panel, keys, fills=dict.fromkeys(counts, 0))
     caused = sum((F.col(names[c]) for c in ENVIRONMENTAL if c in names), F.lit(0))
@@ -59,14 +61,16 @@ def class_pivot(
     code: str = "ADIAG",
     entity: str = "BIRD",
 ) -> DataFrame:
-    """Count of rows with an entity, per day and class; rows without a class are left out."""
-    wide = (
-        events.where(F.col(code).isNotNull())
+    """Count of rows with an entity, per day and class; ``n_other`` counts classes that are not listed. Rows without a class are left out."""
+    found, held = F.col(code), F.col(entity).isNotNull()
+    return (
+        events.where(found.isNotNull())
         .groupBy(F.to_date(date).alias("date"))
-        .pivot(code, list(classes))
-        .agg(F.count(entity))
+        .agg(
+            *[F.count_if((found == c) & held).alias(f"n_{c.lower()}") for c in classes],
+            F.count_if(~found.isin(*classes) & held).alias("n_other"),
+        )
     )
-    return wide.select("date", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(f"n_{c.lower()}") for c in classes])
 
 
 def next_label(

@@ -190,7 +190,7 @@ def risk_coverage(
         *by,
         "point",
         F.get(F.array(*[F.lit(m) for m in margins]), F.col("point")).alias("margin"),
-        (covered / everyone).alias("coverage"),
+        (covered / F.nullif(everyone, F.lit(0))).alias("coverage"),
         F.when(both, SKILLS[score](tp, fp, fn, tn)).alias("score"),
     )
 
@@ -204,10 +204,14 @@ def select_margin(curve: DataFrame, min_coverage: float = 0.5) -> DataFrame:
 def threshold_sweep(
     df: DataFrame, y: str = "y", p: str = "p", thresholds: Sequence[float] | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """True skill statistic when alerting at ``p >= threshold``, for an even grid of thresholds."""
-    grid = list(thresholds) if thresholds is not None else even_grid(0.05, 0.95, 91)
+    """True skill statistic when alerting at ``p >= threshold``, for ascending thresholds (an even grid by default)."""
     held = df.where(F.col(p).isNotNull())
-    cell = F.greatest(grid_index(F.col(p), grid), F.lit(-1)) + 1  # cell 0: below every threshold
+    if thresholds is None:
+        grid = even_grid(0.05, 0.95, 91)
+        cell = F.greatest(grid_index(F.col(p), grid), F.lit(-1)) + 1  # cell 0: below every threshold
+    else:
+        grid = sorted(set(thresholds))
+        cell = sum((F.when(F.col(p) >= F.lit(t), 1).otherwise(0) for t in grid), F.lit(0))
     cells = held.groupBy(*by, cell.alias("point")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
     )
@@ -285,11 +289,18 @@ def evaluate(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ("mo
         F.avg(F.col(y).cast("double")).alias("base_rate"),
     )
     base = base.select(*by, *skill_columns(), "brier", "base_rate")
-    return (
-        base.join(ranking_scores(df, y, p, by), by)
-        .join(calibration_error(df, y, p, n_bins, by), by)
-        .select(*by, "tss", "hss", "roc_auc", "average_precision", "brier", "ece", "base_rate")
-    )
+    for more in (ranking_scores(df, y, p, by), calibration_error(df, y, p, n_bins, by)):
+        base = _with_group(base, more, by)
+    return base.select(*by, "tss", "hss", "roc_auc", "average_precision", "brier", "ece", "base_rate")
+
+
+def _with_group(base: DataFrame, more: DataFrame, by: list[str]) -> DataFrame:
+    """Columns of ``more`` beside the rows of ``base``; null groups match, and a group without a row in ``more`` stays."""
+    renamed = more.select(*[F.col(b).alias(f"_of_{b}") for b in by], *[c for c in more.columns if c not in by])
+    match = F.lit(True)
+    for b in by:
+        match = match & F.col(b).eqNullSafe(F.col(f"_of_{b}"))
+    return base.join(renamed, match, "left").drop(*[f"_of_{b}" for b in by])
 
 
 def long_scores(df: DataFrame, scores: dict[str, str], keep: Sequence[str] = ("y",), name: str = "model") -> DataFrame:

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from dayrisk.session import settled
+
 SKETCH_ACCURACY = 10_000  # rank error of percentile_approx is n / accuracy
 BRACKET = 5 / SKETCH_ACCURACY  # half-width, in rank share, of the interval kept for the exact pass
-SMALL = 20_000  # up to this many values the whole column is the bracket
+SMALL = 20_000  # a bracket is at least ten ranks wide to each side: below this many values it is the whole column
 ROWS_PER_RANGE = 1_000_000
+RANGES = 4_096  # most ranges, so that their cuts stay a short list on the driver; beyond, ranges grow
 RANGE = "_range"
 
 
@@ -51,7 +54,9 @@ def _brackets(wide: DataFrame, columns: Sequence[str], fraction: float):
     return [bracket_row(row, i) for i in range(len(columns))]
 
 
-def select_ranks(wide: DataFrame, columns, brackets, fraction: float, how: str) -> DataFrame:
+def select_ranks(
+    wide: DataFrame, columns, brackets, fraction: float, how: str, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
     known = [(i, c, *b) for i, (c, b) in enumerate(zip(columns, brackets)) if b[0] > 0]
     if not known:
         raise ValueError("no column has a value")
@@ -66,12 +71,13 @@ def select_ranks(wide: DataFrame, columns, brackets, fraction: float, how: str)
         .groupBy("e.feature", "e.n", "e.value")
         .agg(F.count(F.lit(1)).alias("m"))
     )
-    order = Window.partitionBy("feature", "n").orderBy(F.col("value").asc_nulls_first())
     position = (F.col("n") - 1) * F.lit(fraction)
     if how == "higher":
         position = F.ceil(position)
     low_rank, high_rank = F.floor(position), F.ceil(position)
-    placed = counted.withColumn("_end", F.sum("m").over(order)).withColumn("_start", F.col("_end") - F.col("m"))
+    # the values inside a bracket are still many for a large column: their ranks are summed in value ranges
+    summed = running_sums(counted, "value", ["m"], by=["feature", "n"], rows_per_range=rows_per_range)
+    placed = summed.withColumn("_end", F.col("cum_m")).withColumn("_start", F.col("_end") - F.col("m"))
     holds = lambda rank: F.col("value").isNotNull() & (F.col("_start") <= rank) & (rank < F.col("_end"))
     found = placed.groupBy("feature", "n").agg(
         F.max(F.when(holds(low_rank), F.col("value"))).alias("_a"),
@@ -89,20 +95,23 @@ def select_ranks(wide: DataFrame, columns, brackets, fraction: float, how: str)
 def in_ranges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add ``_range``: consecutive value ranges of ``order`` holding about equally many rows.
 
-    The split points only balance the work; any split points give the same results downstream,
-    because equal values always share a range and ranges follow the order.
+    The split points only balance the work; any split points give the same results downstream, because equal values always share a
+    range and ranges follow the order. As in Spark's order, nulls are the first range (-1) and NaN the last, however many rows there are.
     """
+    key = F.col(order).cast("double")
     n = df.count()
-    parts = -(-n // rows_per_range) if n else 1
-    if parts <= 1:
-        return df.withColumn(RANGE, F.lit(0.0))
-    key = df.withColumn("_order_key", F.col(order).cast("double"))
+    parts = min(RANGES, -(-n // rows_per_range)) if n else 1
     probabilities = [i / parts for i in range(1, parts)]
-    cuts = sorted(set(key.approxQuantile("_order_key", probabilities, 1 / (4 * parts))))
-    ends = [float("-inf"), *cuts, float("inf")]
-    if len(ends) < 3:
-        return df.withColumn(RANGE, F.lit(0.0))
-    return Bucketizer(splits=ends, inputCol="_order_key", outputCol=RANGE).transform(key).drop("_order_key")
+    found = df.select(key.alias("_key")).approxQuantile("_key", probabilities, 1 / (4 * parts)) if probabilities else []
+    cuts = sorted(set(found))
+    if cuts:
+        keyed = df.withColumn("_order_key", key)
+        ends = [float("-inf"), *cuts, float("inf")]
+        ranged = Bucketizer(splits=ends, inputCol="_order_key", outputCol=RANGE, handleInvalid="keep").transform(keyed).drop("_order_key")
+    else:
+        ranged = df.withColumn(RANGE, F.lit(0.0))
+    last = float(len(cuts) + 1)
+    return ranged.withColumn(RANGE, F.when(key.isNull(), F.lit(-1.0)).when(F.isnan(key), F.lit(last)).otherwise(F.col(RANGE)))
 
 
 def running_sums(
@@ -116,10 +125,10 @@ def running_sums(
     """Add ``cum_<value>`` (sum up to and including the row) and ``all_<value>`` (sum of the group).
 
     ``order`` must be unique within ``by``: aggregate equal values first. Sums run inside value
-    ranges in parallel; the ranges' totals, a few rows per group, give each range its offset.
+    ranges in parallel; the ranges' totals, a few rows per group, give each range its offset. The input is computed once.
     """
     by = list(by)
-    ranged = in_ranges(df, order, rows_per_range)
+    ranged = in_ranges(settled(df), order, rows_per_range)
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     inside = Window.partitionBy(*by, RANGE).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
     groups = Window.partitionBy(*by)
@@ -142,24 +151,29 @@ def running_sums(
     )
 
 
-def date_order(date: str, tie: str | None = None) -> Column:
-    """Whole-number order key by date; a ``tie`` column spreads rows of one date over its hash.
+def date_order(date: str, tie: Column | None = None) -> Column:
+    """Whole-number order key by date, null dates first; a ``tie`` hash spreads the rows of one date.
 
     15 bits of date and 37 of hash stay exact when the key is handled as a double.
     """
-    day = F.unix_date(F.col(date)).cast("bigint")
+    day = F.coalesce(F.unix_date(F.col(date)).cast("bigint"), F.lit(-32768))
     if tie is None:
         return day
-    return F.shiftleft(day, 37) + F.shiftrightunsigned(F.xxhash64(tie), 27)
+    return F.shiftleft(day, 37) + F.shiftrightunsigned(tie, 27)
 
 
 def row_positions(
     df: DataFrame, order: Column, ties: Sequence[str] = (), by: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
-    """Add 1-based ``position`` along a numeric ``order``, then ``ties``, within ``by``; and the group ``size``."""
+    """Add 1-based ``position`` along a numeric ``order``, then ``ties``, within ``by``; and the group ``size``.
+
+    The order is total: after ``ties`` the hash of the whole row decides, and rows equal in every column are told apart by a number
+    that is fixed when the input is settled. Positions thus do not change between two uses of the result, nor with the layout of the input.
+    """
     by = list(by)
-    keyed = in_ranges(df.withColumn("_key", order), "_key", rows_per_range)
-    inside = Window.partitionBy(*by, RANGE).orderBy("_key", *ties)
+    rest = F.xxhash64(*df.columns)
+    keyed = in_ranges(settled(df.withColumns({"_key": order, "_rest": rest, "_row": F.monotonically_increasing_id()})), "_key", rows_per_range)
+    inside = Window.partitionBy(*by, RANGE).orderBy("_key", *ties, "_rest", "_row")
     groups = Window.partitionBy(*by)
     earlier = groups.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -81,20 +81,22 @@ def compare_models(
         return part, (name, cross_validated_auc(train, features, fit, y=y) if cv else None)
 
     parts, cv_rows = zip(*side_by_side(one, fits.items()))
-    validated = panel.sparkSession.createDataFrame(list(cv_rows), "model string, cv_roc_auc double")
+    placed = [(*row, place) for place, row in enumerate(cv_rows)]
+    validated = panel.sparkSession.createDataFrame(placed, "model string, cv_roc_auc double, place int")
     return metric_rows(reduce(DataFrame.unionByName, parts)).join(F.broadcast(validated), "model")  # one row per model
 
 
 def select_model(comparison: DataFrame, digits: int = 3) -> str:
-    """Name of the model with the best rounded skill."""
-    ranked = comparison.select("model", F.round("tss", digits).alias("tss"))
-    return first_best(ranked, "tss", F.col("model")).first()["model"]
+    """Name of the model with the best rounded skill; of equals, the first in the order given (``place``), else by name."""
+    place = F.col("place") if "place" in comparison.columns else F.lit(0)
+    ranked = comparison.select("model", F.round("tss", digits).alias("tss"), place.alias("place"))
+    return first_best(ranked, "tss", F.col("place"), F.col("model")).first()["model"]
 
 
 def ablation_sets(columns: Sequence[str]) -> dict[str, list[str]]:
     """Nested feature sets, one family added at a time."""
     families = feature_groups(columns)
-    steps = [("lags only", "lag"), ("+ rolling stats", "roll"), ("+ storm phase", "phase"), ("+ cyclic DOY (base)", "season"), ("+ coupling physics", "coupling")]
+    steps = [("lag", "lag"), ("lag, roll", "roll"), ("lag, roll, phase", "phase"), ("base features", "season"), ("base and coupling", "coupling")]
     out, so_far = {}, []
     for title, family in steps:
         so_far = so_far + families[family]

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -18,11 +18,29 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; only a session without one gets a temporary folder."""
+    """Use the shared folder that ``spark.checkpoint.dir`` names.
+
+    Without the setting, a session whose executors are threads of the driver gets a temporary folder; on a cluster executors could not
+    read the driver's folder, so there it is an error.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="dayrisk-checkpoint-"))
+    if context.getCheckpointDir() is not None:
+        return
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not shared and not is_local(context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="dayrisk-checkpoint-"))
+
+
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` written to the shared folder: computed once, the same for every reader, safe from lost executors."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
 
 
 def local_session(cpus: int | str = "*", app: str = "dayrisk") -> SparkSession:

@@ -246,11 +246,11 @@ def panel(spark, folder):
 
 @query(
     "align_panel",
-    rounded_sql("FROM aligned WHERE fold = 'val'", " ".join(_FEATURES[:20]), "target", "date fold", digits=6, ctes=aligned_sql()),
+    rounded_sql("FROM aligned WHERE fold = 'val'", " ".join(_FEATURES), "target", "date fold", digits=6, ctes=aligned_sql()),
 )
 def align(spark, folder):
     rows = long_panel(spark, folder).where("fold = 'val'")
-    return rounded(rows.select("date", "fold", "target", *_FEATURES[:20]), 6)
+    return rounded(rows.select("date", "fold", "target", *_FEATURES), 6)
 
 
 _IMPUTED = ", ".join(f"coalesce({f}, (SELECT median({f}) FROM aligned WHERE fold = 'train')) AS {f}" for f in _FEATURES)
@@ -281,22 +281,26 @@ def params(spark, folder):
     return rounded(fitted.to_frame(spark).drop("pos"))
 
 
-def _scaled(f, source="aligned"):
-    med = f"(SELECT median({f}) FROM {source} WHERE fold = 'train')"
-    x = f"coalesce({f}, {med})"
-    spread = f"(SELECT stddev_pop({x}) FROM {source} WHERE fold = 'train')"
-    mean = f"(SELECT avg({x}) FROM {source} WHERE fold = 'train')"
-    return f"({x} - {mean}) / CASE WHEN {spread} < 1e-12 THEN 1 ELSE {spread} END AS {f}"
+def _scaled_rows(features) -> str:
+    """Every aligned row with its features imputed and scaled by the training rows."""
+    train = "FILTER (WHERE fold = 'train') OVER ()"
+    medians = ", ".join(f"median({f}) AS m_{f}" for f in features)
+    scaled = []
+    for f in features:
+        x = f"coalesce({f}, m_{f})"
+        spread = f"stddev_pop({x}) {train}"
+        scaled.append(f"({x} - avg({x}) {train}) / CASE WHEN {spread} < 1e-12 THEN 1 ELSE {spread} END AS {f}")
+    return f"(SELECT date, fold, target, {', '.join(scaled)} FROM aligned CROSS JOIN (SELECT {medians} FROM aligned WHERE fold = 'train'))"
 
 
 @query(
     "zscore_scale",
-    rounded_sql(f"FROM (SELECT date, {', '.join(_scaled(f) for f in _FEATURES[:16])} FROM aligned WHERE fold = 'val')",
-                " ".join(_FEATURES[:16]), texts="date", ctes=aligned_sql()),
+    rounded_sql(f"FROM {_scaled_rows(_FEATURES)} WHERE fold = 'val'",
+                " ".join(_FEATURES), texts="date", ctes=aligned_sql()),
 )
 def scale(spark, folder):
     rows = long_panel(spark, folder)
-    fitted = fit_panel(rows.where("fold = 'train'"), _FEATURES[:16])
+    fitted = fit_panel(rows.where("fold = 'train'"), _FEATURES)
     return rounded(fitted.transform(rows.where("fold = 'val'"), ["date"]))
 
 
@@ -310,7 +314,7 @@ _EVENT_ALIGNED = aligned_sql(HOURLY_DRIVERS, "hourly", HOURLY_SQL, _EVENT_LABELS
 
 @query(
     "feature_panel",
-    rounded_sql(f"FROM (SELECT date, target, {', '.join(_scaled(f) for f in _EVENT_NAMES)} FROM aligned WHERE fold = 'train')",
+    rounded_sql(f"FROM {_scaled_rows(_EVENT_NAMES)} WHERE fold = 'train'",
                 " ".join(_EVENT_NAMES), "target", "date", digits=6, ctes=_EVENT_ALIGNED),
 )
 def feature_panel(spark, folder):
@@ -322,11 +326,18 @@ def feature_panel(spark, folder):
     return rounded(scaled, 6)
 
 
+_FAMILIES = {
+    "lag": r"name LIKE '%\_lag%' ESCAPE '\'", "roll": r"name LIKE '%\_rmean%' ESCAPE '\' OR name LIKE '%\_rstd%' ESCAPE '\'",
+    "phase": r"name LIKE 'phase\_%' ESCAPE '\'", "season": r"name LIKE 'doy\_%' ESCAPE '\'",
+    "coupling": r"name LIKE 'coupling\_%' ESCAPE '\' OR name IN ('frac_southward', 'pdyn_shock')",
+}
+
+
 @query(
     "feature_groups",
-    "WITH named(family, n_columns) AS (VALUES "
-    + ", ".join(f"('{k}', CAST({len(v)} AS BIGINT))" for k, v in feature_groups(_FEATURES).items())
-    + f"), {LONG_SQL} SELECT family, n_columns, (SELECT count(DISTINCT CAST(ts AS DATE)) FROM long_drivers) AS days FROM named",
+    f"WITH {LONG_SQL}, names AS (SELECT unnest([{', '.join(repr(f) for f in _FEATURES)}]) AS name), "
+    + "counted AS (" + " UNION ALL ".join(f"SELECT '{k}' AS family, count(*) FILTER (WHERE {rule}) AS n_columns FROM names" for k, rule in _FAMILIES.items())
+    + ") SELECT family, n_columns, (SELECT count(DISTINCT CAST(ts AS DATE)) FROM long_drivers) AS days FROM counted",
 )
 def groups(spark, folder):
     """Columns per family of the built panel, with the number of measured days."""

@@ -147,20 +147,17 @@ def labels_sql(source: str = "catalogue", name: str = "labels_daily", counted: s
 
 
 def rare_labels(spark: SparkSession, folder: str) -> DataFrame:
-    """0/1 label per day of the order calendar; true on roughly an eighth of the days at any scale."""
+    """0/1 label per day of the order calendar: whether the day's first order, by key, is urgent. A day's rule, whatever the table's size."""
     orders = table(spark, folder, "orders")
-    size = orders.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    cut = 500000.0 * (1.0 - 1536.0 / size)
-    rare = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > F.lit(cut))
-    daily = orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count_if(rare).alias("n_anomalies"))
+    first = F.min_by("o_orderpriority", "o_orderkey") == "1-URGENT"
+    daily = orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(first.cast("bigint").alias("n_anomalies"))
     return fill_calendar(daily, fills={"n_anomalies": 0}).select(
         "date", "n_anomalies", (F.col("n_anomalies") > 0).alias("any_environmental")
     )
 
 
 RARE_SQL = """rare_seen AS (
-    SELECT CAST(o_orderdate AS DATE) AS date, count(*) FILTER (WHERE o_orderpriority = '1-URGENT'
-      AND o_totalprice > 500000.0 * (1.0 - 1536.0 / (SELECT count(*) FROM orders))) AS n_anomalies
+    SELECT CAST(o_orderdate AS DATE) AS date, CAST(arg_min(o_orderpriority, o_orderkey) = '1-URGENT' AS BIGINT) AS n_anomalies
     FROM orders GROUP BY 1),
   rare_days AS (
     SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM rare_seen),

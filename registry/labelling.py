@@ -34,6 +34,7 @@ def event_counts_all(spark, folder):
     "daily_class_pivot",
     f"WITH {CATALOGUE_SQL} SELECT CAST(anomaly_date AS VARCHAR) AS date, "
     + ", ".join(f"count(*) FILTER (WHERE ADIAG = '{c}' AND BIRD IS NOT NULL) AS n_{c.lower()}" for c in DIAGNOSES)
+    + f", count(*) FILTER (WHERE ADIAG NOT IN ({', '.join(repr(c) for c in DIAGNOSES)}) AND BIRD IS NOT NULL) AS n_other"
     + " FROM catalogue WHERE ADIAG IS NOT NULL GROUP BY 1",
 )
 def pivot(spark, folder):

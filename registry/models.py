@@ -14,14 +14,15 @@ from dayrisk.operators.linear import fit_elastic_net, fit_lasso, fit_ols, fit_ri
 from dayrisk.operators.metrics import evaluate
 from dayrisk.operators.ransac import fit_ransac
 from dayrisk.plans import study
+from dayrisk.plans.baselines import climatology, persistence
 from dayrisk.plans.hypotheses import events_with_phase, next_day_odds, phase_by_class, regimes_beyond_index
 from dayrisk.plans.panel import FittedPanel, align_target, daily_features, feature_groups, fit_panel
 from dayrisk.plans.scoring import scenario_rows, score_scenarios
 from dayrisk.sources.bundle import Bundle
 from dayrisk.sources.run_metrics import long_metrics
-from dayrisk.session import ensure_checkpoint_dir
+from dayrisk.session import settled
 from registry.core import query
-from registry.features import _FEATURES, _lag, CONFIG, long_panel
+from registry.features import _FEATURES, _lag, aligned_sql, CONFIG, long_panel
 from registry.inputs import (
     CATALOGUE_SQL, LINE_SQL, LONG_CUTS, LONG_SQL, events_catalogue, line_scores, long_drivers, rare_labels, rounded, rounded_sql, table,
 )
@@ -29,21 +30,16 @@ from registry.scoring import _EVALUATE, _EVALUATED
 
 BASE = [f for f in _FEATURES if f not in feature_groups(_FEATURES)["coupling"]]
 FITS = {"logit": c.logit, "forest": c.forest, "boosting": c.boosting, "kernel": c.kernel_machine, "calibrated_logit": c.calibrated_logit}
-_LOCKED: dict[tuple[str, str], study.LockedTest] = {}
-_MODELS: dict[tuple[str, str, str], c.Fitted] = {}
-_KEPT: dict[tuple[str, str], tuple[FittedPanel, DataFrame]] = {}
 
 
 def scaled_panel(spark: SparkSession, folder: str) -> tuple[FittedPanel, DataFrame]:
-    """The scaled long panel with all folds, built once per session and kept for all model queries."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _KEPT:
-        # a fit is dozens of small jobs; on a checkpointed panel none of them carries the panel's lineage
-        ensure_checkpoint_dir(spark)
-        rows = long_panel(spark, folder).where("fold IS NOT NULL").checkpoint()
-        fitted = fit_panel(rows.where("fold = 'train'"), _FEATURES)
-        _KEPT[key] = fitted, fitted.transform(rows, ["date", "fold", "target"]).checkpoint()
-    return _KEPT[key]
+    """The scaled long panel with all folds, read anew for every query.
+
+    A fit is dozens of small jobs; on a settled panel none of them carries the panel's lineage.
+    """
+    rows = settled(long_panel(spark, folder).where("fold IS NOT NULL"))
+    fitted = fit_panel(rows.where("fold = 'train'"), _FEATURES)
+    return fitted, settled(fitted.transform(rows, ["date", "fold", "target"]))
 
 
 def _panel(spark, folder):
@@ -54,19 +50,11 @@ def _train(spark, folder):
     return _panel(spark, folder).where("fold = 'train'")
 
 
-def _model(spark, folder, name: str) -> c.Fitted:
-    """A model fitted on train, once per session."""
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _MODELS:
-        _MODELS[key] = FITS[name](_train(spark, folder), BASE, "target")
-    return _MODELS[key]
-
-
 def _validated(spark, folder, name: str) -> DataFrame:
-    """Metric row of a fitted model on the validation fold."""
-    model = _model(spark, folder, name)
-    val = _panel(spark, folder).where("fold = 'val'")
-    return study.metric_rows(model.score(val).select(F.lit(model.name).alias("model"), F.col("target").alias("y"), "p"))
+    """Metric row of a model fitted on train, on the validation fold."""
+    panel = _panel(spark, folder)
+    model = FITS[name](study.in_fold(panel, "train"), BASE, "target")
+    return study.metric_rows(model.score(study.in_fold(panel, "val")).select(F.lit(model.name).alias("model"), F.col("target").alias("y"), "p"))
 
 
 # --- linear models with one feature have a closed form ------------------------------------------
@@ -95,7 +83,7 @@ for _name, _fit, _slope in (
 
 @query("logit")
 def logit(spark, folder):
-    fit = _model(spark, folder, "logit").model
+    fit = c.logit(_train(spark, folder), BASE, "target").model
     return spark.createDataFrame(list(zip(fit.features, fit.weights)), "feature string, weight double")
 
 
@@ -148,15 +136,14 @@ def time_series_auc(spark, folder):
 
 @query("model_table")
 def model_table(spark, folder):
-    """All classifiers, fitted on train, scored on val in one table."""
-    fits = {name: lambda rows, features, y, name=name: _model(spark, folder, name) for name in FITS}
-    return study.compare_models(_panel(spark, folder), BASE, fits, cv=False)
+    """All classifiers, fitted on train, scored on val in one table, with their cross-validated AUC."""
+    return study.compare_models(_panel(spark, folder), BASE, FITS)
 
 
 @query("ablation")
 def ablation(spark, folder):
-    """Five nested feature sets; the logit keeps the whole table affordable at any size."""
-    return study.ablation(_panel(spark, folder), study.ablation_sets(_FEATURES), c.logit)
+    """The forest on five nested feature sets."""
+    return study.ablation(_panel(spark, folder), study.ablation_sets(_FEATURES), c.forest)
 
 
 @query("platt")
@@ -171,11 +158,8 @@ def recalibrated(spark, folder):
     return study.calibration_table(study.calibrations(_panel(spark, folder), BASE, c.logit))
 
 
-def _locked(spark, folder) -> study.LockedTest:
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _LOCKED:
-        _LOCKED[key] = study.LockedTest(_panel(spark, folder), rare_labels(spark, folder), BASE, c.logit)
-    return _LOCKED[key]
+def _locked(spark, folder, panel: DataFrame | None = None) -> study.LockedTest:
+    return study.LockedTest(_panel(spark, folder) if panel is None else panel, rare_labels(spark, folder), BASE, c.logit)
 
 
 @query("locked_test_report")
@@ -188,20 +172,37 @@ def locked_points(spark, folder):
     return _locked(spark, folder).operating_points()
 
 
+@query(
+    "locked_test_baselines",
+    rounded_sql(
+        "FROM base JOIN eces USING (model)", "tss hss brier ece base_rate", texts="model",
+        ctes=f"""{aligned_sql()}, scores AS (
+          SELECT 'persistence' AS model, target AS y, CAST(coalesce(CAST(any_environmental AS INTEGER), 0) AS DOUBLE) AS p FROM aligned LEFT JOIN rare USING (date) WHERE fold = 'test'
+          UNION ALL SELECT 'climatology', target, (SELECT avg(CAST(target AS DOUBLE)) FROM aligned WHERE fold = 'train') FROM aligned WHERE fold = 'test'),
+          {_EVALUATE}""",
+    ),
+)
+def locked_baselines(spark, folder):
+    """The two forecasts without a model on the test fold."""
+    panel, labels = settled(long_panel(spark, folder).select("date", "fold", "target")), rare_labels(spark, folder)
+    test = study.in_fold(panel, "test").select("date", F.col("target").alias("y"))
+    same = persistence(test, labels, "any_environmental").select(F.lit("persistence").alias("model"), "y", F.col("predicted").cast("double").alias("p"))
+    flat = climatology(test, study.in_fold(panel, "train"), "target").select(F.lit("climatology").alias("model"), "y", "p")
+    return rounded(evaluate(same.unionByName(flat)).select("model", "tss", "hss", "brier", "ece", "base_rate"))
+
+
 @query("slice_rerun")
 def one_orbit(spark, folder):
-    """The protocol again with labels from one orbit's events only."""
-    events = events_catalogue(spark, folder).where("ORBIT = 'G'").where(F.col("weight") > 400000.0)
-    labels = daily_event_counts(events)
-    rows = align_target(daily_features(long_drivers(spark, folder), CONFIG), labels, CONFIG)
-    rows = rows.withColumn("fold", fold_column(F.col("date"), LONG_CUTS)).where("fold IS NOT NULL").persist()
-    try:
+    """The forest's protocol again with labels from all orbits and from one orbit's events only."""
+    events, daily = events_catalogue(spark, folder), daily_features(long_drivers(spark, folder), CONFIG)
+    parts = []
+    for name, own in (("all orbits", events), ("one orbit", events.where("ORBIT = 'G'"))):
+        rows = align_target(daily, daily_event_counts(own), CONFIG)
+        rows = settled(rows.withColumn("fold", fold_column(F.col("date"), LONG_CUTS)).where("fold IS NOT NULL"))
         fitted = fit_panel(rows.where("fold = 'train'"), BASE)
-        panel = fitted.transform(rows, ["date", "fold", "target"])
-        out = study.slice_rerun(panel, BASE, c.logit)
-        return spark.createDataFrame(out.collect(), out.schema)  # one row
-    finally:
-        rows.unpersist()
+        panel = settled(fitted.transform(rows, ["date", "fold", "target"]))
+        parts.append(study.slice_rerun(panel, BASE, c.forest).withColumn("model", F.lit(name)))
+    return parts[0].unionByName(parts[1])
 
 
 # --- hypotheses ---------------------------------------------------------------------------------
@@ -236,18 +237,18 @@ def phase_test(spark, folder):
 @query("lr_test_regimes")
 def regimes(spark, folder):
     labels = rare_labels(spark, folder).where(F.col("date") <= F.lit(LONG_CUTS["train"]).cast("date"))
-    # three starts: the spreading initialisation rarely needs more, and each start is dozens of jobs
-    return regimes_beyond_index(long_drivers(spark, folder), labels, starts=3)
+    return regimes_beyond_index(long_drivers(spark, folder), labels)
 
 
 # --- clusters -----------------------------------------------------------------------------------
-VECTOR = ["x1", "x2", "x3"]
-
-
-def _places(spark, folder):
-    return table(spark, folder, "embeddings").select(
-        F.col("vec_id").alias("id"), F.col("label").alias("cluster"),
-        *[F.get("embedding", F.lit(i)).cast("double").alias(x) for i, x in enumerate(VECTOR)])
+def _places(spark, folder) -> tuple[DataFrame, list[str]]:
+    """Whole embeddings as columns, and the names of the columns."""
+    rows = table(spark, folder, "embeddings")
+    width = rows.agg(F.max(F.size("embedding"))).first()[0] or 0
+    names = [f"x{i}" for i in range(width)]
+    return rows.select(
+        F.col("vec_id").alias("id"), F.col("label").alias("cluster"), *[F.get("embedding", F.lit(i)).cast("double").alias(x) for i, x in enumerate(names)]
+    ), names
 
 
 def _projected(spark, folder):
@@ -265,7 +266,7 @@ def pca(spark, folder):
 def kmeans(spark, folder):
     rows = _projected(spark, folder)
     axes = ["pc1", "pc2", "pc3"]
-    found = clusters.assign(rows, clusters.kmeans(rows, axes, 5, starts=8), axes)
+    found = clusters.assign(rows, clusters.kmeans(rows, axes, 5), axes)
     return found.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("target").alias("rate"))
 
 
@@ -294,12 +295,11 @@ def spread(spark, folder):
     return rounded(clusters.rate_spread(items))
 
 
-_POINTS = "pts AS (SELECT vec_id AS id, label AS c, CAST(embedding[1] AS DOUBLE) AS x1, CAST(embedding[2] AS DOUBLE) AS x2, CAST(embedding[3] AS DOUBLE) AS x3 FROM embeddings)"
+_POINTS = "pts AS (SELECT vec_id AS id, label AS c, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
 
 
 def _silhouette_sql(power):
-    d2 = "(a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2) + (a.x3 - b.x3) * (a.x3 - b.x3)"
-    d = d2 if power == 2 else f"sqrt({d2})"
+    d = f"power(list_distance(a.v, b.v), {power})"
     return f"""{_POINTS}, sums AS (SELECT a.id, a.c, b.c AS t, sum({d}) AS d, count(*) AS m FROM pts a CROSS JOIN pts b GROUP BY 1, 2, 3),
       ab AS (SELECT id, max(CASE WHEN c = t THEN d / nullif(m - 1, 0) END) AS a, min(CASE WHEN c <> t THEN d / m END) AS b FROM sums GROUP BY 1),
       sil AS (SELECT avg(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM ab)"""
@@ -307,12 +307,12 @@ def _silhouette_sql(power):
 
 @query("silhouette_exact", rounded_sql("FROM sil", "silhouette", ctes=_silhouette_sql(1)))
 def silhouette(spark, folder):
-    return rounded(clusters.silhouette_exact(_places(spark, folder), VECTOR).select("silhouette"))
+    return rounded(clusters.silhouette_exact(*_places(spark, folder)).select("silhouette"))
 
 
 @query("silhouette_squared", rounded_sql("FROM sil", "silhouette", ctes=_silhouette_sql(2)))
 def silhouette_one_pass(spark, folder):
-    value = clusters.silhouette_squared(_places(spark, folder), VECTOR)
+    value = clusters.silhouette_squared(*_places(spark, folder))
     return rounded(spark.createDataFrame([(value,)], "silhouette double"))
 
 
@@ -320,7 +320,7 @@ def silhouette_one_pass(spark, folder):
 def _bundle(spark, folder) -> Bundle:
     fitted, panel = scaled_panel(spark, folder)
     base = FittedPanel([p for p in fitted.params if p[0] in set(BASE)])
-    test = _locked(spark, folder)
+    test = _locked(spark, folder, panel)
     return Bundle(base, test.model, test.curve, test.margin())
 
 

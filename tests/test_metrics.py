@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dayrisk.operators import metrics as m
 from dayrisk.operators.calibration import conformal_clip, isotonic_fit, isotonic_predict, platt_fit, platt_predict
+from dayrisk.operators.folds import holdout_cut
 from dayrisk.operators.linear import balanced_weights, fit_elastic_net, fit_lasso, fit_logit, fit_ols, fit_ridge
 from dayrisk.operators.order_stats import date_order, exact_quantiles, first_best, hashed_sample, row_positions, running_sums
 from dayrisk.operators.ransac import fit_ransac
@@ -100,7 +101,7 @@ def test_running_sums(spark, rows_per_range):
 def test_row_positions_with_ties_on_one_date(spark, rows_per_range):
     rows = [(dt.date(2020, 1, 1 + (i % 3 == 0)), f"s{i}") for i in range(90)]
     df = spark.createDataFrame(rows, "date date, s string")
-    got = row_positions(df, date_order("date", "s"), ["s"], rows_per_range=rows_per_range).toPandas()
+    got = row_positions(df, date_order("date", F.xxhash64("s")), ["s"], rows_per_range=rows_per_range).toPandas()
     assert sorted(got.position) == list(range(1, 91)) and set(got["size"]) == {90}
     assert got[got.position <= 60].date.nunique() == 1
 
@@ -338,3 +339,47 @@ def test_top_one_and_sample(spark):
     one, two = (sorted(r["id"] for r in hashed_sample(spark.range(1000), "id", 100, s).collect()) for s in (1, 1))
     assert one == two and len(set(one)) == 100
     assert one != sorted(r["id"] for r in hashed_sample(spark.range(1000), "id", 100, 2).collect())
+
+
+@pytest.mark.parametrize("rows_per_range", [2, 5])
+def test_null_and_nan_keys_are_the_same_at_every_size(spark, rows_per_range):
+    rows = [(i, None if i % 5 == 0 else float("nan") if i % 7 == 0 else float(i % 9)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, v double")
+    place = lambda n: {r["id"]: (r["position"], r["size"]) for r in row_positions(df, F.col("v"), ["id"], rows_per_range=n).collect()}
+    small, whole = place(rows_per_range), place(1_000_000)
+    assert small == whole and sorted(p for p, _ in whole.values()) == list(range(1, 41))
+    sums = df.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    total = lambda n: sorted(map(str, running_sums(sums, "v", ["n"], rows_per_range=n).collect()))
+    assert total(rows_per_range) == total(1_000_000) and len(total(rows_per_range)) == sums.count()
+
+
+def test_holdout_of_one_date_does_not_depend_on_the_layout(spark):
+    rows = [(dt.date(2020, 1, 1) if i % 10 else None, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "date date, id int")
+    cut = lambda frame: {r["id"] for r in holdout_cut(frame).where("part = 'fit'").collect()}
+    assert cut(df.repartition(7)) == cut(df.repartition(2, "id")) and len(cut(df)) == 400
+    one = holdout_cut(df.repartition(5))
+    assert one.where("part = 'fit'").join(one.where("part = 'calibrate'"), "id").isEmpty()
+
+
+def test_evaluate_keeps_null_and_unscored_groups(spark):
+    df = spark.createDataFrame([("a", 1, 0.9), ("a", 0, 0.2), (None, 1, 0.7), (None, 0, 0.1), ("b", 1, None)], "model string, y int, p double")
+    rows = {r["model"]: r for r in m.evaluate(df).collect()}
+    assert set(rows) == {"a", None, "b"} and rows[None]["roc_auc"] == 1.0 and rows["b"]["roc_auc"] is None
+
+
+def test_curves_of_an_empty_table_and_uneven_thresholds(spark):
+    empty = spark.createDataFrame([], "y int, p double")
+    assert all(r["coverage"] is None for r in m.risk_coverage(empty).collect())
+    df = spark.createDataFrame([(1, 0.1), (0, 0.1), (1, 0.115), (0, 0.5), (1, 0.95)], "y int, p double")
+    for r in m.threshold_sweep(df, thresholds=[0.1, 0.11, 0.12, 0.9]).collect():
+        said = [(y, p >= r["threshold"]) for y, p in df.collect()]
+        assert r["tss"] == pytest.approx(sum(a for y, a in said if y) / 3 - sum(a for y, a in said if not y) / 2)
+
+
+def test_ranks_inside_a_bracket_are_split_over_ranges(spark):
+    df = spark.range(3000).select((F.col("id") % 997).cast("double").alias("v"))
+    wide = df.selectExpr("v")
+    found = order_stats.select_ranks(wide, ["v"], [(3000, 0.0, 996.0)], 0.5, "linear", rows_per_range=50)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "_range" in plan and found.first()["value"] == float(np.median(df.toPandas()["v"]))

@@ -2,9 +2,10 @@ import datetime as dt
 
 import pytest
 
+from dayrisk import session
 from dayrisk.constants import CATALOGUE_COLUMNS, DIAGNOSES, HOURLY_FIELDS, ORBITS, SENTINELS
 from dayrisk.functions.cleaning import drop_all_null, sentinels_to_null
-from dayrisk.operators.labels import coverage_report, daily_event_counts, date_audit
+from dayrisk.operators.labels import class_pivot, coverage_report, daily_event_counts, date_audit
 from dayrisk.operators.lookup import describe_codes
 from dayrisk.sources.catalogue import clean_catalogue, read_catalogue
 from dayrisk.sources.hourly_text import read_hourly_table, read_hourly_text, write_hourly_table
@@ -165,3 +166,35 @@ def test_glossaries(spark):
     df = spark.createDataFrame([("G", "ESD"), ("?", None)], "ORBIT string, ADIAG string")
     named = describe_codes(describe_codes(df, "ORBIT", ORBITS, "orbit"), "ADIAG", DIAGNOSES, "diagnosis").collect()
     assert {r["ORBIT"]: r["orbit"] for r in named} == {"G": "Geostationary", "?": None}
+
+
+def test_catalogue_goes_by_column_name(spark, tmp_path):
+    path = tmp_path / "other.csv"
+    path.write_text("BIRD,EXTRA,ADIAG,ADATE,ORBIT\nsat-1,x,esd,1970-01-02,g\nsat-2,y,xyz,1970-01-02,p\n")
+    raw = read_catalogue(spark, str(path))
+    assert raw.columns == ["ADATE", "BIRD", "ORBIT", "ADIAG"]
+    events = clean_catalogue(raw)
+    rows = {r["BIRD"]: r for r in events.collect()}
+    assert rows["SAT-1"]["is_environmental"] and rows["SAT-1"]["ORBIT"] == "G" and rows["SAT-2"]["event_time_utc"] is None
+    pivot = class_pivot(events).first()
+    assert (pivot["n_esd"], pivot["n_other"]) == (1, 1)
+    assert daily_event_counts(events, only_environmental=False, other=True).first()["n_other"] == 1
+    raw.write.parquet(str(tmp_path / "events.parquet"))
+    assert read_catalogue(spark, str(tmp_path / "events.parquet")).count() == 2
+    path.write_text("BIRD,ADIAG\nsat-1,esd\n")
+    with pytest.raises(ValueError):
+        read_catalogue(spark, str(path))
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = lambda self: None
+        getConf = lambda self: {}
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
+    assert session.is_local("local[8]") and not session.is_local("local-cluster[3,2,1000]")
