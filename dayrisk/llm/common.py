@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dayrisk.session import ensure_checkpoint_dir
 
-SLICE_BYTES = 4_000_000
-CACHE_ENTRIES = 400_000
+SLICE_BYTES = 2_000_000
+CACHE_ENTRIES = 150_000
 WORD_BREAK = r"[^\pL\pN\pM_]+"
 LETTER_BREAK = r"[^\pL\pM]+"
 
@@ -46,6 +46,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[p
         stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
         yield batch.slice(start, stop - start), texts.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()  # the process is used again by other tasks
 
 
 class Words:

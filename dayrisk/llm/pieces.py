@@ -22,7 +22,7 @@ MARKER = "\u2581"
 NORMAL, UNKNOWN, CONTROL, UNUSED, BYTE = 1, 2, 3, 5, 6
 #: An unknown character costs this much more than the rarest piece.
 UNKNOWN_PENALTY = 10.0
-LOCKSTEP_BYTES = 96
+LOCKSTEP_BYTES, LOCKSTEP_ROWS = 96, 20_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -159,7 +159,7 @@ class PieceModel:
         self.longest = max(len(p.encode()) for _, p in usable)
         self.surface = [bytes([int(p[3:5], 16)]) if t == BYTE else b"" if t == CONTROL else " \u2047 ".encode() if t == UNKNOWN else p.replace(MARKER, " ").encode() for p, _, t in pieces]
         self.lines_apart = bool(self.bytes) and not any("\n" in p for _, p in usable)  # then a line break is its byte wherever it stands
-        self.cache = Cache(self._one, entries=700_000)
+        self.cache = Cache(self._one, entries=300_000)
 
     def _ids(self, data: bytes, cuts: list[tuple[int, int, int]]) -> bytes:
         """Ids of a segmentation as 32-bit numbers; an unknown character falls back to its bytes."""
@@ -283,8 +283,11 @@ class PieceModel:
             cut = pc.replace_substring(cut, "\n", "\x00\n\x00")
         words = Words(pc.split_pattern(cut, "\x00"))
         stretches = [w.replace("\x01\x02", "\x00").replace(" ", MARKER) for w in words.unique]
-        fresh = [s for s in stretches if s not in self.cache and len(s.encode()) <= LOCKSTEP_BYTES]
-        made = dict(zip(fresh, self._many(fresh))) if fresh else {}
+        fresh = sorted((s for s in stretches if s not in self.cache and len(s.encode()) <= LOCKSTEP_BYTES), key=len)
+        made = {}
+        for start in range(0, len(fresh), LOCKSTEP_ROWS):
+            own = fresh[start : start + LOCKSTEP_ROWS]
+            made |= zip(own, self._many(own))
         found = [made[s] if s in made else self.cache[s] for s in stretches]
         if len(self.cache) + len(made) > self.cache.entries:
             self.cache.clear()

@@ -56,7 +56,7 @@ def feature_rates(sample: DataFrame) -> DataFrame:
     """``(feature, toxic, clean)``: documents of either label that have the feature, summed in each partition first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, of = (Counter(), Counter()), Cache(grams)
+        counts, of = (Counter(), Counter()), Cache(grams, entries=20_000)
 
         def flush() -> pa.RecordBatch:
             names = list(counts[0].keys() | counts[1].keys())
@@ -70,7 +70,7 @@ def feature_rates(sample: DataFrame) -> DataFrame:
                 words = split_words(texts)
                 for i, label in enumerate(rows.column("label").to_pylist()):
                     counts[int(label > 0)].update(_text_features(words, i, of))
-                if len(counts[0]) + len(counts[1]) > 1_000_000:
+                if len(counts[0]) + len(counts[1]) > 300_000:
                     yield flush()
         yield flush()
 
@@ -96,7 +96,7 @@ def sample_rows(sample: DataFrame, features: list[str]) -> pd.DataFrame:
     index = {f: i for i, f in enumerate(features)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        of = Cache(lambda w: {index[g] for g in grams(w) if g in index})
+        of = Cache(lambda w: tuple(index[g] for g in grams(w) if g in index), entries=100_000)
         packed = lambda found: np.array(sorted(found), np.uint16).tobytes()
         for batch in batches:
             for rows, texts in text_slices(batch):
@@ -165,7 +165,7 @@ class ToxicityModel:
     def scorer(self):
         """A function from Arrow texts to their scores."""
         weights, index = self.weights, {f: i for i, f in enumerate(self.features)}
-        of = Cache(lambda w: np.array(sorted({index[g] for g in grams(w) if g in index}), np.int64))
+        of = Cache(lambda w: tuple(sorted({index[g] for g in grams(w) if g in index})), entries=150_000)
 
         def score(texts: pa.Array) -> np.ndarray:
             words = split_words(texts)
@@ -175,7 +175,7 @@ class ToxicityModel:
             hit = np.flatnonzero(sizes[words.codes])
             pairs = np.unique(doc[hit] * len(found) + words.codes[hit]) if len(hit) else np.empty(0, np.int64)
             doc, code = pairs // max(1, len(found)), pairs % max(1, len(found))
-            features = np.concatenate([found[c] for c in code]) if len(code) else np.empty(0, np.int64)
+            features = np.array([f for c in code.tolist() for f in found[c]], np.int64)
             keys = np.unique(np.repeat(doc, sizes[code]) * max(1, len(index)) + features)
             total = np.bincount(keys // max(1, len(index)), weights[keys % max(1, len(index))], len(words)) + weights[-1]
             return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
