@@ -116,7 +116,7 @@ def _signed(texts: pa.Array) -> list:
     salt = np.arange(1, BANDS + 1, dtype=np.uint64) * _SECOND
     for text, (keys, counts) in zip(texts, _multisets(texts)):
         if not len(keys):  # without words only identical texts are copies
-            fps.append("-" + xxhash.xxh3_128_hexdigest(text.as_py().encode()))
+            fps.append(b"-" + xxhash.xxh3_128_digest(text.as_py().encode()))
             sizes.append(0)
             bands.append([])
             sigs.append(b"")
@@ -125,23 +125,23 @@ def _signed(texts: pa.Array) -> list:
         key = salt.copy()
         for column in tags.reshape(BANDS, ROWS).T:
             key = mixed(key * _GOLDEN + column)
-        fps.append(xxhash.xxh3_128_hexdigest(keys.tobytes() + counts.tobytes()))
+        fps.append(xxhash.xxh3_128_digest(keys.tobytes() + counts.tobytes()))
         sizes.append(int(counts.sum()))
         bands.append(key.view(np.int64).tolist())
         sigs.append((tags & np.uint64(255)).astype(np.uint8).tobytes())
-    return [fps, pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())]
+    return [pa.array(fps, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())]
 
 
 SIGNED = [
-    T.StructField("fp", T.StringType()), T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sig", T.BinaryType()),
+    T.StructField("fp", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sig", T.BinaryType()),
 ]
 BAG = [T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())]
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
 def _bags(texts: pa.Array) -> list:
-    bags = list(_multisets(texts))
-    return [pa.array([k.tobytes() for k, _ in bags], pa.binary()), pa.array([c.astype(np.uint32).tobytes() for _, c in bags], pa.binary())]
+    bags = [Bag.write(*b) for b in _multisets(texts)]
+    return [pa.array([k for k, _ in bags], pa.binary()), pa.array([c for _, c in bags], pa.binary())]
 
 
 def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
@@ -158,11 +158,19 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
 
 
 class Bag:
-    """A shingle multiset as stored: sorted 64-bit keys and 32-bit counts."""
+    """A shingle multiset as stored: sorted keys and counts of 32 bits each.
+
+    The shorter keys halve what the verification moves; two texts of 20 000 words share 0.1 shingles by chance.
+    """
+
+    @staticmethod
+    def write(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+        short, at = np.unique((keys >> np.uint64(32)).astype(np.uint32), return_inverse=True)
+        return short.tobytes(), np.bincount(at, counts, len(short)).astype(np.uint32).tobytes()
 
     @staticmethod
     def read(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-        return np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.uint32).astype(np.int64)
+        return np.frombuffer(keys, np.uint32), np.frombuffer(counts, np.uint32).astype(np.int64)
 
 
 def block_links(rows: list[tuple], band: int) -> list[tuple[int, int]]:
