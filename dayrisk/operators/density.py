@@ -49,6 +49,8 @@ def dbscan(
     feature are noise.
     """
     names, d = list(features), len(features)
+    if d > 6:
+        raise ValueError("neighbouring cells are listed, 5 to the power of the dimensions: project to at most six axes first")
     ensure_checkpoint_dir(df.sparkSession)
     side = eps / math.sqrt(d)
     x = [f"_x{i}" for i in range(d)]

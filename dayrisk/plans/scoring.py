@@ -14,9 +14,12 @@ from dayrisk.sources.bundle import Bundle
 def rows_for_dates(hourly: DataFrame, dates: DataFrame, config: PanelConfig = PanelConfig()) -> DataFrame:
     """Unscaled feature rows of the given ``date`` values; dates without hours in reach give no row.
 
+    ``dates`` may name series keys too; without them every series has a row for each date.
+
     Hours of other years than the wanted and the previous one should be pruned by the caller's read.
     """
-    return daily_features(hourly, config).join(dates.select("date"), "date", "left_semi")
+    on = [*[k for k in config.keys if k in dates.columns], "date"]
+    return daily_features(hourly, config).join(dates.select(*on), on, "left_semi")
 
 
 def score_dates(hourly: DataFrame, dates: DataFrame, bundle: Bundle, config: PanelConfig = PanelConfig()) -> DataFrame:

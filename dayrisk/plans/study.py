@@ -167,18 +167,24 @@ def calibration_table(scores: DataFrame) -> DataFrame:
 
 
 class LockedTest:
-    """Fit on four fifths of train, calibrate on the rest, tune on val, report once on test."""
+    """Fit on four fifths of train, calibrate on the rest, tune on val, report once on test.
 
-    def __init__(self, panel: DataFrame, labels: DataFrame, features: Sequence[str], fit: Fit, label: str = "any_environmental", y: str = "target"):
-        self.panel, self.labels, self.features, self.label, self.y = panel, labels, list(features), label, y
+    ``keys`` are the series columns of ``panel`` and ``labels``, if there are several series.
+    """
+
+    def __init__(
+        self, panel: DataFrame, labels: DataFrame, features: Sequence[str], fit: Fit, label: str = "any_environmental", y: str = "target",
+        keys: Sequence[str] = (),
+    ):
+        self.panel, self.labels, self.features, self.label, self.y, self.keys = panel, labels, list(features), label, y, list(keys)
         parts = holdout_cut(in_fold(panel, "train"))
         self.model = fit(parts.where("part = 'fit'"), self.features, y)
         self.curve = isotonic_fit(self.model.score(parts.where("part = 'calibrate'")).select(F.col(y).alias("y"), "p"))
 
     def scores(self, fold: str) -> DataFrame:
-        """``(date, y, p)`` with calibrated p."""
+        """``(keys..., date, y, p)`` with calibrated p."""
         raw = self.model.score(in_fold(self.panel, fold)).withColumnRenamed("p", "_raw")
-        return isotonic_predict(raw, self.curve, "_raw", "p").select("date", F.col(self.y).alias("y"), "p")
+        return isotonic_predict(raw, self.curve, "_raw", "p").select(*self.keys, "date", F.col(self.y).alias("y"), "p")
 
     def threshold(self) -> float:
         return best_threshold(threshold_sweep(self.scores("val"))).first()["threshold"]
@@ -188,8 +194,8 @@ class LockedTest:
 
         A constant forecast has no skill by definition; persistence, being 0 or 1, gets no ranking scores.
         """
-        test = in_fold(self.panel, "test").select("date", F.col(self.y).alias("y"))
-        same = persistence(test, self.labels, self.label).select("y", F.col("predicted").cast("double").alias("p"))
+        test = in_fold(self.panel, "test").select(*self.keys, "date", F.col(self.y).alias("y"))
+        same = persistence(test, self.labels, self.label, self.keys).select("y", F.col("predicted").cast("double").alias("p"))
         flat = climatology(test, in_fold(self.panel, "train"), self.y).select("y", "p")
         named = lambda df, name: df.select(F.lit(name).alias("model"), "y", "p")
         rows = metric_rows(named(same, "persistence").unionByName(named(flat, "climatology")).unionByName(named(self.scores("test"), "model")))

@@ -255,3 +255,16 @@ def test_stream_of_hours(spark, tmp_path):
     want = hourly.groupBy(F.to_date("ts").alias("date")).agg(F.avg("Dst").alias("m")).orderBy("date").collect()
     assert [r["date"] for r in got] == [w["date"] for w in want[:2]]  # the last day is still open
     assert [r["dst_mean"] for r in got] == pytest.approx([w["m"] for w in want[:2]])
+
+
+def test_locked_test_and_dates_with_two_series(spark):
+    rng = np.random.default_rng(4)
+    days = pd.date_range("2020-01-01", periods=120)
+    rows = [(s, d.date(), "train" if i < 70 else "val" if i < 95 else "test", float(x), int(x + rng.normal() > 0)) for s in "ab" for i, d in enumerate(days) for x in [rng.normal()]]
+    panel = spark.createDataFrame(rows, "series string, date date, fold string, x double, target int")
+    labels = panel.select("series", "date", (F.col("series") == "a").alias("any_environmental"))
+    test = study.LockedTest(panel, labels, ["x"], lambda df, f, y: c.logit(df, f, y), keys=["series"])
+    assert test.scores("test").count() == 50 and test.scores("test").columns == ["series", "date", "y", "p"]
+    said = persistence(study.in_fold(panel, "test").select("series", "date"), labels, "any_environmental", ["series"])
+    assert said.count() == 50 and said.where("predicted = 1").select("series").distinct().collect()[0][0] == "a"
+    assert test.report().count() == 3
