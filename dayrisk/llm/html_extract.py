@@ -24,7 +24,7 @@ SAMPLE_PAGES, SAMPLE_BLOCKS = 2_000, 100_000
 HINT, TEXT_MOST, FOLLOWS, NEAR = 6.0, 2.5, 1.0, 0.6
 ARTICLE_TAGS = frozenset("article main".split())
 OUTSIDE_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
-ARTICLE_WORDS = frozenset("article content main story post entry articlebody article-body article-content post-body post-content entry-content main-content story-body role=main role=article".split())
+ARTICLE_WORDS = frozenset("article content main story post entry articlebody article-body article-content post-body post-content entry-content main-content story-body story-text post-text text prose blog-post maincontent page-content role=main role=article".split())
 #: Parts of class names and ids that mark what is not the article.
 OUTSIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice alert sidebar widget nav navbar"
