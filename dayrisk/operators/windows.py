@@ -34,7 +34,7 @@ def in_time_blocks(
     With ``gap_mode='rows'`` it looks back ``reach`` rows, however long the gaps: one small count per
     block tells whether the last ``reach`` steps before its end hold enough rows. If not, the
     whole block is copied forward, and blocks shorter than ``reach`` rows pass on to earlier ones.
-    ``(keys, ts)`` must be unique and not null.
+    ``(keys, ts)`` must be unique and ``ts`` not null; a null key is a series of its own.
     """
     keys = list(keys)
     seconds = F.unix_seconds(F.col(ts).cast("timestamp"))
@@ -50,7 +50,11 @@ def in_time_blocks(
     if gap_mode == "time":
         targets = F.when(in_tail, F.array(F.col(home), F.col(home) + 1)).otherwise(F.array(F.col(home)))
     elif gap_mode == "rows":
-        rows = rows.join(_forward_feeds(rows, home, in_tail, reach, keys), [*keys, home])
+        feeds, match = _forward_feeds(rows, home, in_tail, reach, keys), F.lit(True)
+        for c in (*keys, home):  # a null key is a series of its own
+            feeds = feeds.withColumnRenamed(c, f"_of{c}")
+            match = match & F.col(c).eqNullSafe(F.col(f"_of{c}"))
+        rows = rows.join(feeds, match)
         forward = F.transform(F.filter("_feeds", lambda f: f["whole"] | in_tail), lambda f: f["to"])
         targets = F.concat(F.array(home), forward)
     else:

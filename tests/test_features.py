@@ -10,7 +10,7 @@ from dayrisk.operators.columns import interaction_names, interactions, one_hot
 from dayrisk.operators.daily import dominant_phase, fill_calendar, to_daily
 from dayrisk.operators.folds import expanding_folds, holdout_cut, stratified_folds
 from dayrisk.operators.labels import fold_column, next_label
-from dayrisk.operators.windows import BLOCK, hourly_features
+from dayrisk.operators.windows import in_time_blocks, BLOCK, hourly_features
 from dayrisk.plans.panel import FeaturePanel, FittedPanel, PanelConfig, coupling_features, daily_features, feature_groups, fit_panel
 
 START = pd.Timestamp("2020-01-01")
@@ -280,3 +280,12 @@ def test_fitted_panel_errors_and_round_trip(spark):
         fitted.transform(df.drop("a"))
     assert FittedPanel.from_frame(fitted.to_frame(spark)).params == fitted.params
     assert [r["b"] for r in fitted.transform(df).collect()] == [0.0] * 4
+
+
+@pytest.mark.parametrize("gap_mode", ["rows", "time"])
+def test_rows_of_a_null_series_stay(spark, gap_mode):
+    start = dt.datetime(2020, 1, 1)
+    rows = [(k, start + dt.timedelta(hours=i), float(i)) for k in ("a", "b", None) for i in range(60)]
+    df = spark.createDataFrame(rows, "series string, ts timestamp, v double")
+    got = in_time_blocks(df, "ts", 3, ["series"], block_days=1, gap_mode=gap_mode)
+    assert got.where("_own").groupBy("series").count().count() == 3 and got.where("_own").count() == 180
