@@ -22,8 +22,14 @@ def rows_for_dates(hourly: DataFrame, dates: DataFrame, config: PanelConfig = Pa
     return daily_features(hourly, config).join(dates.select(*on), on, "left_semi")
 
 
-def score_dates(hourly: DataFrame, dates: DataFrame, bundle: Bundle, config: PanelConfig = PanelConfig()) -> DataFrame:
-    """Probability and decision for every wanted date; no labels needed, the last date included."""
+def score_dates(hourly: DataFrame, dates: DataFrame, bundle: Bundle, config: PanelConfig | None = None) -> DataFrame:
+    """Probability and decision for every wanted date; no labels needed, the last date included.
+
+    The features are built as the bundle says; another ``config`` than the bundle's is an error.
+    """
+    if config is not None and bundle.config is not None and config != bundle.config:
+        raise ValueError("the bundle was fitted on features of another configuration")
+    config = config or bundle.config or PanelConfig()
     return bundle.score(rows_for_dates(hourly, dates, config), [*config.keys, "date"])
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
@@ -15,17 +15,18 @@ from dayrisk.functions.scalars import decide
 from dayrisk.operators.calibration import isotonic_predict
 from dayrisk.operators.classifiers import Fitted, scorer_of
 from dayrisk.operators.linear import LinearFit
-from dayrisk.plans.panel import FittedPanel
+from dayrisk.plans.panel import FittedPanel, PanelConfig
 
 
 @dataclass
 class Bundle:
-    """Everything needed to turn unscaled daily features into a decision."""
+    """Everything needed to turn unscaled daily features into a decision; ``config`` says how the features were built."""
 
     panel: FittedPanel
     model: Fitted
     calibrator: IsotonicRegressionModel
     margin: float
+    config: PanelConfig | None = None
 
     def score(self, daily: DataFrame, keep=("date",)) -> DataFrame:
         """Impute, scale, score, calibrate and decide in one projection: ``(keep..., p_raw, p, decision)``."""
@@ -36,7 +37,7 @@ class Bundle:
     def save(self, spark: SparkSession, path: str) -> None:
         self.panel.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/params")
         self.calibrator.write().overwrite().save(f"{path}/calibrator")
-        about = {"margin": self.margin, "model": self.model.name}
+        about = {"margin": self.margin, "model": self.model.name, "config": asdict(self.config) if self.config else None}
         if isinstance(self.model.model, LinearFit):
             fit = self.model.model
             about["linear"] = {"features": fit.features, "weights": fit.weights, "intercept": fit.intercept}
@@ -54,6 +55,8 @@ class Bundle:
             about = json.loads(spark.read.text(f"{path}/about").first()["value"])
         except AnalysisException as error:
             raise FileNotFoundError(f"no fitted bundle at {path}; fit and save one first") from error
+        built = about.get("config")
+        config = PanelConfig(**{k: tuple(v) if isinstance(v, list) else v for k, v in built.items()}) if built else None
         panel = FittedPanel.from_frame(spark.read.parquet(f"{path}/params"))
         if "linear" in about:
             fit = LinearFit(tuple(about["linear"]["features"]), tuple(about["linear"]["weights"]), about["linear"]["intercept"])
@@ -61,4 +64,4 @@ class Bundle:
         else:
             stages = PipelineModel.load(f"{path}/model").stages
             model = Fitted(about["model"], stages[-1], scorer_of(stages[-1], panel.features))
-        return cls(panel, model, IsotonicRegressionModel.load(f"{path}/calibrator"), about["margin"])
+        return cls(panel, model, IsotonicRegressionModel.load(f"{path}/calibrator"), about["margin"], config)

@@ -321,7 +321,7 @@ def _bundle(spark, folder) -> Bundle:
     fitted, panel = scaled_panel(spark, folder)
     base = FittedPanel([p for p in fitted.params if p[0] in set(BASE)])
     test = _locked(spark, folder, panel)
-    return Bundle(base, test.model, test.curve, test.margin())
+    return Bundle(base, test.model, test.curve, test.margin(), CONFIG)
 
 
 @query("batch_score")

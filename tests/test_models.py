@@ -213,7 +213,7 @@ def test_bundle_round_trip_and_scoring(spark, tmp_path, fit):
     fitted = fit_panel(rows.where("fold = 'train'"), features)
     scaled = fitted.transform(rows, ["date", "fold", "target"])
     test = study.LockedTest(scaled, labels, features, fit)
-    bundle = Bundle(fitted, test.model, test.curve, 0.05)
+    bundle = Bundle(fitted, test.model, test.curve, 0.05, config)
     path = str(tmp_path / "bundle")
     with pytest.raises(FileNotFoundError):
         Bundle.load(spark, path)
@@ -222,7 +222,9 @@ def test_bundle_round_trip_and_scoring(spark, tmp_path, fit):
     assert loaded.margin == 0.05 and loaded.panel.params == fitted.params
     dates = spark.createDataFrame([(dt.date(2020, 2, 28),), (dt.date(2020, 2, 29),), (dt.date(2031, 1, 1),)], "date date")
     before = score_dates(hourly, dates, bundle, config).orderBy("date").collect()
-    after = score_dates(hourly, dates, loaded, config).orderBy("date").collect()
+    after = score_dates(hourly, dates, loaded).orderBy("date").collect()
+    with pytest.raises(ValueError):
+        score_dates(hourly, dates, loaded, PanelConfig(drivers=("Bz_gsm", "Dst"), block_days=20, gap_mode="time"))
     assert [r["date"].day for r in after] == [28, 29]  # the last day is scored, an absent day has no row
     for a, b in zip(before, after):
         assert b["p"] == pytest.approx(a["p"]) and a["decision"] == b["decision"]
