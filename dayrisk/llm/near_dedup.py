@@ -2,9 +2,9 @@
 
 Signatures come from Poisson processes over dyadic intervals of the weights, so that two signatures agree in a component with
 exactly the weighted Jaccard similarity of the multisets. Documents with the same multiset collapse first. Bands give buckets; inside a
-bucket no list of all pairs is made: first every member meets the bucket's smallest member, then members of components that are
-still apart meet in bounded blocks, most alike first, and only the links that join components leave the block. Every link
-is verified on the multisets themselves.
+bucket no list of all pairs is made: first every member meets the bucket's smallest member, then members that are still apart meet in
+bounded blocks, most alike first, and only the links that join them leave the block. Every link is verified on the multisets
+themselves.
 """
 
 from __future__ import annotations
@@ -217,7 +217,7 @@ def block_links(rows: list[tuple], band: int) -> list[tuple[int, int]]:
 
 
 def _links_apart(buckets: DataFrame, labels: DataFrame, signed: DataFrame, bags: DataFrame) -> DataFrame:
-    """Links between components that are still apart inside a bucket; a large bucket is cut into pairs of blocks of bounded size."""
+    """Links between members with different labels inside a bucket; a large bucket is cut into pairs of blocks of bounded size."""
     members = buckets.where("size > 2").join(labels, "node")
     open_ = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -266,8 +266,12 @@ def _classes(signed: DataFrame, named: DataFrame) -> DataFrame:
     near = F.least("n", "lead.n") >= SIMILARITY * F.greatest("n", "lead.n")
     stars = buckets.where((F.col("node") != F.col("lead.node")) & near).select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
     links = settled(_verified(stars, bags))
-    more = settled(_links_apart(buckets, connected_components(nodes, links), signed, bags))
-    return connected_components(nodes, links.union(more))
+    # members with one and the same lead are joined already; the blocks find the rest
+    led = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
+    labels = nodes.join(led, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    every = settled(links.union(_links_apart(buckets, labels, signed, bags)))
+    linked = every.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return connected_components(linked, every)
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
