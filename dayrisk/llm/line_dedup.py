@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 RATIO = 0.3
 LEAST_PAGES = 5
+#: Parts that the pages of each host are dealt into for the join with its lines, so that a large host is no single partition.
+SALTS = 64
 #: Elements without visible text, block elements that break lines, and references that are decoded.
 HIDDEN = r"(?is)<!--.*?-->|<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 BREAKS = r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|hr|tr|table|section|article|header|footer|nav|aside|main|form|blockquote|pre|dd|dt|dl|figure|figcaption)\b[^>]*>"
@@ -52,8 +54,10 @@ def drop_site_lines(pages: DataFrame, ratio: float = RATIO, least_pages: int = L
     ``least_pages`` pages, stays whole; repeated rows count as pages of their own. Other columns are not looked at.
     """
     lined = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), visible_lines(F.col("html")).alias("lines"))
-    # a host with a large share of all pages is split by the adaptive skew join; its list is short
-    joined = lined.join(site_lines(lined, ratio=ratio, least_pages=least_pages), "host", "left")
+    part = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
+    # a host's list is short, so a copy for each part costs little beside the pages
+    site = site_lines(lined, ratio=ratio, least_pages=least_pages).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = lined.withColumn("part", part).join(site, ["host", "part"], "left")
     bad = F.coalesce("boilerplate", F.array().cast("array<string>"))
     kept = F.filter("lines", lambda x: ~F.array_contains(bad, x))
     return joined.select(
