@@ -86,23 +86,45 @@ class LanguageModel:
         totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()
         languages = sorted({r["lang"] for r in totals})
         place = {lang: i for i, lang in enumerate(languages)}
-        by_entry = counts.groupBy("kind", "entry").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("each"))
+        own = [F.sum(F.when(F.col("lang") == lang, F.col("n"))).alias(f"n{i}") for i, lang in enumerate(languages)]
+        wide = counts.groupBy("kind", "entry").agg(F.sum("n").alias("all"), *own)
+        cuts = cls.least_counts(wide)
+        kept = wide.where(cls.often_enough(cuts)).toArrow() if cuts else None
         rows, logs = {}, {}
-        for kind, most in ENTRIES.items():
-            kept = by_entry.where(F.col("kind") == kind).orderBy(F.desc("all"), "entry").limit(most).select("entry", "each").collect()
-            table = np.zeros((len(kept), len(languages)))
-            for i, row in enumerate(kept):
-                for lang, n in row["each"]:
-                    table[i, place[lang]] = n
+        for kind in ENTRIES:
+            table = kept.filter(pc.equal(kept["kind"], kind)) if kept is not None else None
+            n = np.column_stack([table[f"n{i}"].fill_null(0).to_numpy() for i in range(len(languages))]) if table is not None else np.zeros((0, len(languages)))
             size, distinct = np.ones(len(languages)), 1
             for r in totals:
                 if r["kind"] == kind:
                     size[place[r["lang"]]], distinct = r["n"], max(distinct, r["distinct"])
-            rows[kind] = {row["entry"]: i for i, row in enumerate(kept)}
-            logs[kind] = np.log((table + SMOOTHING) / (size + SMOOTHING * distinct)).astype(np.float32)
+            rows[kind] = {entry: i for i, entry in enumerate(table["entry"].to_pylist())} if table is not None else {}
+            logs[kind] = np.log((n + SMOOTHING) / (size + SMOOTHING * distinct)).astype(np.float32)
         counts.unpersist()
         return cls(languages, rows, logs)
 
+    @staticmethod
+    def least_counts(wide: DataFrame) -> dict[int, int]:
+        """For each kind the smallest count that is kept, so that at most ENTRIES of it are; entries of one count stay or go together.
+
+        Only the numbers of entries of each count reach the driver, at most the square root of twice the sample's occurrences.
+        """
+        cuts: dict[int, int] = {}
+        taken: dict[int, int] = {}
+        for r in sorted(wide.groupBy("kind", "all").agg(F.count(F.lit(1)).alias("entries")).collect(), key=lambda r: (r["kind"], -r["all"])):
+            kind = r["kind"]
+            taken[kind] = taken.get(kind, 0) + r["entries"]
+            if taken[kind] <= ENTRIES[kind]:
+                cuts[kind] = r["all"]
+        return cuts
+
+    @staticmethod
+    def often_enough(cuts: dict[int, int]) -> Column:
+        out = F.lit(False)
+        for kind, least in cuts.items():
+            out = out | ((F.col("kind") == kind) & (F.col("all") >= least))
+        return out
+
     def word(self, word: str) -> np.ndarray:
         """Log frequency of a word in each language, or the mean of its longest known n-grams; zeros if nothing is known."""
         known = self.rows[0].get(word)
