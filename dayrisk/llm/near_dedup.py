@@ -175,13 +175,14 @@ class Bag:
 
 def block_links(rows: list[tuple], band: int) -> list[tuple[int, int]]:
     """Verified links of one block of a bucket, enough to join what is linked: pairs most alike come first, and a pair whose
-    members are joined already is not looked at again. ``rows``: (node, label, lead, n, side, sig, keys, counts).
+    members are joined already is not looked at again. ``rows``: (node, label, lead, n, side, sig, keys, counts, bands).
 
-    A pair is looked at in the first band that it shares, unless one of the two is the lead, whom all members have met before.
+    A pair is looked at in the first band whose key it shares, unless one of the two is the lead, whom all members have met before.
     """
-    rows = sorted(rows)
+    rows = sorted(rows, key=lambda r: r[0])
     node, label, lead, n, side = (np.array(x, np.int64) for x in list(zip(*rows))[:5])
     sigs = np.stack([np.frombuffer(r[5], np.uint8) for r in rows])
+    bands = np.stack([np.asarray(r[8], np.int64) for r in rows])
     crossing = bool((side != side[0]).any())
     found = []
     for i in range(len(rows) - 1):
@@ -191,10 +192,11 @@ def block_links(rows: list[tuple], band: int) -> list[tuple[int, int]]:
         after = np.flatnonzero(open_) + i + 1
         if not len(after):
             continue
-        equal = sigs[after] == sigs[i]
-        agree = equal.sum(axis=1)
-        alike = (agree >= LEAST_EQUAL) & (np.argmax(equal.reshape(len(after), BANDS, ROWS).all(axis=2), axis=1) == band)
-        found += [(-int(s), i, int(j)) for s, j in zip(agree[alike], after[alike])]
+        agree = (sigs[after] == sigs[i]).sum(axis=1)
+        alike = agree >= LEAST_EQUAL
+        after, agree = after[alike], agree[alike]
+        first = np.argmax(bands[after] == bands[i], axis=1) == band
+        found += [(-int(s), i, int(j)) for s, j in zip(agree[first], after[first])]
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -229,11 +231,11 @@ def _links_apart(buckets: DataFrame, labels: DataFrame, signed: DataFrame, bags:
     )
     rows = (
         placed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "band", "node", "label", F.col("lead.node").alias("lead"), "n", F.col("own").alias("side"))
-        .join(signed.select("node", "sig"), "node")
+        .join(signed.select("node", "sig", "bands"), "node")
         .join(bags, "node")
     )
     order = ["key", "i", "j"]
-    fields = ["node", "label", "lead", "n", "side", "sig", "keys", "counts"]
+    fields = ["node", "label", "lead", "n", "side", "sig", "keys", "counts", "bands"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, band, waiting = None, 0, []

@@ -134,6 +134,19 @@ def test_crowded_buckets_lose_no_link(spark, monkeypatch):
     assert rows.class_id.tolist() == near_classes(texts)
 
 
+def test_a_pair_is_not_lost_where_bytes_of_an_earlier_band_agree_by_chance():
+    draw = np.random.default_rng(1)
+    tags = np.tile(draw.integers(0, 2**63, near_dedup.SIZE, dtype=np.uint64), (2, 1))
+    tags[1, : near_dedup.ROWS * 2] += np.uint64(1)
+    tags[1, 0] += np.uint64(255)  # band 0: four components agree and one only in its last byte
+    tags[1, 1 : near_dedup.ROWS] -= np.uint64(1)
+    keys = [[hash(t[i : i + near_dedup.ROWS].tobytes()) for i in range(0, near_dedup.SIZE, near_dedup.ROWS)] for t in tags]
+    assert [a == b for a, b in zip(*keys)] == [False, False] + [True] * (near_dedup.BANDS - 2)
+    bag = near_dedup.Bag.write(np.arange(50, dtype=np.uint64) << np.uint64(32), np.ones(50, np.int64))
+    rows = [(i + 1, i + 1, 0, 50, 0, (t & np.uint64(255)).astype(np.uint8).tobytes(), *bag, k) for i, (t, k) in enumerate(zip(tags, keys))]
+    assert [near_dedup.block_links(rows, band) for band in (2, 3)] == [[(1, 2)], []]
+
+
 def test_near_dedup_keeps_columns_and_repeated_rows_once(spark):
     rows = [(1, prose(1, 40), 1, "k"), (1, prose(1, 40), 1, "k"), (2, prose(1, 40).upper(), 2, "k"), (None, prose(2, 40), 3, "k")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, node long, label string")
