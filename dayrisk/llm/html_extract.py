@@ -23,7 +23,7 @@ from dayrisk.llm.html_blocks import Block, Element, blocks_of
 SAMPLE_PAGES, SAMPLE_BLOCKS = 2_000, 100_000
 HINT, TEXT_MOST, FOLLOWS, NEAR = 6.0, 2.5, 1.0, 0.6
 ARTICLE_TAGS = frozenset("article main".split())
-OUTSIDE_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
+OUTSIDE_TAGS = frozenset("nav footer aside menu dialog fieldset".split())
 ARTICLE_WORDS = frozenset("article content main story post entry articlebody article-body article-content post-body post-content entry-content main-content story-body story-text post-text text prose blog-post maincontent page-content role=main role=article".split())
 #: Parts of class names and ids that mark what is not the article.
 OUTSIDE_WORDS = frozenset(
@@ -32,7 +32,14 @@ OUTSIDE_WORDS = frozenset(
     " overlay login signup pagination pager toolbar skip copyright legal disclaimer tags role=navigation role=banner role=contentinfo role=complementary"
     " role=search role=form role=dialog role=alert".split()
 )
-COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond disqus discussion responses".split())
+#: Containers of comments by a part of a class name or id; by a whole one, where what lies inside says so too; and parts that only tell how a page is set.
+COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond disqus".split())
+MAYBE_COMMENT_WORDS = frozenset("discussion responses".split())
+STATE_PARTS = frozenset("with has have no without is open opened closed enabled disabled allowed on off".split())
+#: Article words that count inside what is marked as boilerplate, where most of the page's marked text lies in them.
+SURE_WORDS = frozenset("articlebody article-body article-content post-body post-content entry-content main-content story-body story-text post-text maincontent page-content role=main role=article".split())
+#: Shares of the page's text: a form that holds more is no mere form; a box that holds more is not boilerplate by its name alone.
+FORM_SHARE, MOST = 0.25, 0.5
 LAYOUT_TAGS = frozenset(("html", "body"))
 FEATURES = ["one", "log_length", "linked", "stops", "words", "capitals", "paragraph", "item"]
 #: Used where no page says outright what its article is.
@@ -43,11 +50,72 @@ def _parts(words: frozenset) -> set[str]:
     return set(words) | {p for w in words if "=" not in w for p in re.split(r"[-_:]+", w)}
 
 
-def hint(element: Element, memo: dict[int, float]) -> float:
+def _outer_parts(words: frozenset) -> set[str]:
+    """``_parts`` of the words that name a container, not a state as ``with-sidebar`` or ``comments-open``."""
+    return _parts(frozenset(w for w in words if not STATE_PARTS & set(re.split(r"[-_:]+", w))))
+
+
+def _is_article(element: Element) -> bool:
+    return element.tag in ARTICLE_TAGS or bool(element.words & SURE_WORDS)
+
+
+class Shares:
+    """How the text of a page outside links lies in its elements; ``marked`` is the part of it inside article tags and sure words."""
+
+    def __init__(self, blocks: list[Block]):
+        known: dict[int, Element] = {}
+        for block in blocks:
+            x = block.element
+            while x is not None and x.number not in known:
+                known[x.number] = x
+                x = x.parent
+        inside: dict[int, tuple[bool, bool]] = {}  # (in an article, in comments)
+        for number in sorted(known):  # parents have smaller numbers
+            x = known[number]
+            article, comments = inside[x.parent.number] if x.parent is not None else (False, False)
+            comments = comments or bool(_outer_parts(x.words) & COMMENT_WORDS)
+            inside[number] = ((article or _is_article(x)) and not comments, comments)
+        self.text, self.marked = dict.fromkeys(known, 0), dict.fromkeys(known, 0)
+        for block in blocks:
+            number, own = block.element.number, max(0, len(block.text) - block.linked)
+            self.text[number] += own
+            self.marked[number] += own * inside[number][0]
+        self.articles, self.comments = dict.fromkeys(known, 0), dict.fromkeys(known, 0)
+        for number in sorted(known, reverse=True):
+            x = known[number]
+            if x.parent is not None:
+                up = x.parent.number
+                self.text[up] += self.text[number]
+                self.marked[up] += self.marked[number]
+                self.articles[up] += self.articles[number] + _is_article(x)
+                self.comments[up] += self.comments[number] + bool(_outer_parts(x.words) & COMMENT_WORDS)
+        self.all, self.all_marked = self.text.get(0, 0), self.marked.get(0, 0)
+
+    def share(self, x: Element) -> float:
+        return self.text[x.number] / max(1, self.all)
+
+    def most(self, x: Element) -> bool:
+        """Whether an element holds most of the page's text and of what is marked as article in it."""
+        return self.all > 0 and self.share(x) >= MOST and self.marked[x.number] >= MOST * self.all_marked
+
+    def is_form(self, x: Element) -> bool:
+        return x.tag == "form" and not self.articles[x.number] and self.share(x) <= FORM_SHARE
+
+    def is_comments(self, x: Element) -> bool:
+        """Named as comments, and either there is an article elsewhere or nothing in it looks like one."""
+        if not (_outer_parts(x.words) & COMMENT_WORDS or (x.words & MAYBE_COMMENT_WORDS and self.comments[x.number])):
+            return False
+        if self.all_marked:
+            return self.all_marked > self.marked[x.number]
+        return not self.articles[x.number] and not _is_article(x) and self.share(x) < MOST
+
+
+def hint(element: Element, memo: dict[int, float], shares: Shares) -> float:
     """What the markup around a block says: above 0 article, below 0 not, 0 nothing.
 
     The innermost word counts, except that readers' comments and forms stay outside whatever they contain, and that a header
-    inside an article belongs to it.
+    inside an article belongs to it. A form or a box named as comments or boilerplate is not taken for one where the page's
+    article would go with it (see ``Shares``).
     """
     chain, x = [], element
     while x is not None and x.number not in memo:
@@ -55,15 +123,14 @@ def hint(element: Element, memo: dict[int, float]) -> float:
         x = x.parent
     above = memo[x.number] if x is not None else 0.0
     for x in reversed(chain):
-        above = memo[x.number] = _hint_below(above, x)
+        above = memo[x.number] = _hint_below(above, x, shares)
     return above
 
 
-def _hint_below(above: float, element: Element) -> float:
+def _hint_below(above: float, element: Element, shares: Shares) -> float:
     if element.tag in LAYOUT_TAGS:
         return above
-    parts = _parts(element.words)
-    if parts & COMMENT_WORDS or element.tag == "form":
+    if shares.is_comments(element) or shares.is_form(element):
         return -2 * HINT
     if above <= -2 * HINT:
         return above
@@ -71,9 +138,9 @@ def _hint_below(above: float, element: Element) -> float:
         return -HINT
     if element.tag in ARTICLE_TAGS:
         return HINT
-    if parts & OUTSIDE_WORDS and not (above > 0 and element.tag in ("header", "h1", "h2")):
+    if _outer_parts(element.words) & OUTSIDE_WORDS and not (above > 0 and element.tag in ("header", "h1", "h2")) and not shares.most(element):
         return -HINT
-    if element.words & ARTICLE_WORDS and above >= 0:
+    if element.words & ARTICLE_WORDS and (above >= 0 or (element.words & SURE_WORDS and shares.marked[element.number] >= MOST * shares.all_marked > 0)):
         return HINT
     return above
 
@@ -194,8 +261,9 @@ def main_blocks(blocks: list[Block], weights: np.ndarray) -> list[str]:
     if not blocks:
         return []
     memo: dict[int, float] = {}
+    shares = Shares(blocks)
     text = np.clip(np.array([shape(b) for b in blocks]) @ weights, -TEXT_MOST, TEXT_MOST)
-    gain = [hint(b.element, memo) + float(t) for b, t in zip(blocks, text)]
+    gain = [hint(b.element, memo, shares) + float(t) for b, t in zip(blocks, text)]
     return [b.text for b, article in zip(blocks, minimum_cut(gain, ties(blocks))) if article]
 
 
@@ -210,7 +278,9 @@ def learn_weights(pages: DataFrame, bound: int = SAMPLE_PAGES, most: int = SAMPL
             found = []
             for page in batch["html"]:
                 memo: dict[int, float] = {}
-                found += [[*shape(b), float(h > 0)] for b in blocks_of(page) if (h := hint(b.element, memo))]
+                blocks = blocks_of(page)
+                shares = Shares(blocks)
+                found += [[*shape(b), float(h > 0)] for b in blocks if (h := hint(b.element, memo, shares))]
             yield pd.DataFrame(found, columns=[*FEATURES, "article"], dtype=float)
 
     shapes = sample.mapInPandas(run, ", ".join(f"{c} double" for c in [*FEATURES, "article"]))

@@ -114,6 +114,37 @@ def test_main_text_of_a_page():
     assert "\n".join(html_extract.main_blocks(blocks_of(PAGE), html_extract.PLAIN)) == "Title & more\nFirst paragraph with spaces.\nSecond, a < b é.\nItem one\nItem two\nLast."
 
 
+BODY = "".join(f"<p>Paragraph {i} of the article tells the reader, in plain words, what happened and why it matters.</p>" for i in range(6))
+MENU = "<nav><ul><li><a href=a>One</a><li><a href=b>Two</a></ul></nav>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<form id=aspnetForm>{MENU}<div>{BODY}</div></form>",
+        f"<form>{MENU}<article>{BODY}</article></form>",
+        f"<form>{MENU}<div class=entry-content>{BODY}</div></form>",
+        f"{MENU}<main><p>Abstract of it all.</p><section id=discussion>{BODY}</section></main>",
+        f"{MENU}<div id=responses>{BODY}</div>",
+        f"{MENU}<article class='post comments-open'>{BODY}</article>",
+        f"{MENU}<div class='content with-sidebar'>{BODY}</div>",
+        f"{MENU}<div class='columns right-sidebar'><div class=entry-content>{BODY}</div></div>",
+        f"{MENU}<div class='comments-page'><article>{BODY}</article></div>",
+        f"{MENU}<aside><div class=entry-content>{BODY}</div></aside>",
+    ],
+)
+def test_an_article_is_not_lost_in_a_form_or_by_a_word_of_its_box(page):
+    text = "\n".join(html_extract.main_blocks(blocks_of(page), html_extract.PLAIN))
+    assert text.count("Paragraph") == 6 and "One" not in text
+
+
+@pytest.mark.parametrize("box", ["form", "div class=comments", "div id=comments-area", "div class='discussion'", "div class=sidebar"])
+def test_what_is_no_article_stays_outside(box):
+    other = f"<{box}><div class=comment-body><p>I am a reader, and I say so.</p></div></{box.split()[0]}>"
+    text = "\n".join(html_extract.main_blocks(blocks_of(f"{MENU}<article>{BODY}</article>{other}"), html_extract.PLAIN))
+    assert text.count("Paragraph") == 6 and "reader, and" not in text
+
+
 def test_extraction_takes_any_page(spark):
     pages = [PAGE, None, "", "no markup at all, just one longer sentence, with commas.", "<p>open <b>x", "<" * 2000, "<a title='" + "x" * 5000, "<div>" * 3000 + "deep", PAGE]
     table = spark.createDataFrame([(i, f"http://h/{i}", p, "t") for i, p in enumerate(pages)], "page_id long, url string, html string, text string")
