@@ -1,19 +1,22 @@
 """From raw documents to packed training sequences.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last return the columns of ``docs``. Stages are
-meant to be written and read again in between, as ``run`` does through the shared checkpoint folder.
+meant to be written and read again in between, as ``run`` does through Parquet in the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dayrisk.llm.common import free_name, read_table, settled
+from dayrisk.llm.common import free_name, read_table
 from dayrisk.llm.exact_dedup import drop_exact_duplicates
 from dayrisk.llm.near_dedup import drop_near_duplicates
 from dayrisk.llm.packing import pack_documents
 from dayrisk.llm.quality import QualityModel
 from dayrisk.llm.toxicity import ToxicityModel
+from dayrisk.session import ensure_checkpoint_dir
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``."""
+    """All stages over the table ``documents``; the result of each but the last is written as Parquet and read again."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = settled(stage(spark, docs, sf_dir))
+    for name, stage in STAGES[:-1]:
+        made = stage(spark, docs, sf_dir)
+        made.write.parquet(f"{folder}/{name}")
+        docs = spark.read.schema(made.schema).parquet(f"{folder}/{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

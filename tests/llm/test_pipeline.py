@@ -36,3 +36,17 @@ def test_pipeline_equals_its_decisions_one_by_one(spark, tmp_path):
     empty = table.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0, name
+
+
+def test_stages_read_what_the_stage_before_wrote_as_parquet(spark, tmp_path, monkeypatch):
+    documents(spark, ["a", None, "b"]).write.parquet(str(tmp_path / "documents.parquet"))
+    read = []
+
+    def stage(spark, docs, sf_dir):
+        read.append((sorted(docs.columns), docs.count(), len(docs.inputFiles()) > 0))
+        return docs.where("text is not null") if len(read) == 1 else docs.where("text = 'c'")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", stage), ("second", stage), ("third", stage), ("last", lambda spark, docs, sf_dir: docs)])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    columns = sorted(documents(spark, ["a"]).columns)
+    assert read == [(columns, 3, True), (columns, 2, True), (columns, 0, True)]
