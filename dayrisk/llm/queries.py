@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from dayrisk.llm import chat, exact_dedup, html_extract, language_id, line_dedup, near_dedup, packing, pieces, quality, toxicity
+from dayrisk.llm import chat, exact_dedup, html_extract, language_id, line_dedup, merkle, near_dedup, packing, pieces, quality, toxicity
 from dayrisk.llm.common import read_table
+from dayrisk.llm.merkle_sql import check_documents_sql
 from dayrisk.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +128,15 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root that its proof leads to after tampering."""
+    return merkle.check_documents(read_table(spark, folder, "documents"))
+
+
+SQL["op12_merkle_manifest"] = check_documents_sql()
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""
