@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from dayrisk.llm import chat, exact_dedup, html_extract, language_id, line_dedup, merkle, near_dedup, packing, pieces, quality, toxicity
+from dayrisk.llm import alignment, chat, exact_dedup, html_extract, language_id, line_dedup, merkle, near_dedup, packing, pieces, quality, toxicity
 from dayrisk.llm.common import read_table
 from dayrisk.llm.merkle_sql import check_documents_sql
 from dayrisk.session import configure
@@ -137,6 +137,12 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op12_merkle_manifest"] = check_documents_sql()
 
 
+@query
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of two tokenizers lie over each other in every document, and how common their links are."""
+    return alignment.align_documents(read_table(spark, folder, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""
