@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from dayrisk.llm import alignment, chat, exact_dedup, html_extract, language_id, line_dedup, merkle, near_dedup, packing, pieces, quality, toxicity
+from dayrisk.llm import alignment, chat, exact_dedup, html_extract, language_id, line_dedup, merkle, near_dedup, packing, pieces, quality, secret_scan, toxicity
 from dayrisk.llm.common import read_table
 from dayrisk.llm.merkle_sql import check_documents_sql
 from dayrisk.session import configure
@@ -128,6 +128,12 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+@query
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document, by patterns and by the fitted field."""
+    return secret_scan.scan_documents(read_table(spark, folder, "documents"))
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, roots and proof of every document, and the root that its proof leads to after tampering."""
