@@ -32,7 +32,7 @@ FORMS = {"user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>"), "system":
 FIRST_RESERVED = 50_257
 RESERVED = {c: FIRST_RESERVED + i for i, c in enumerate(CONTROLS)}
 _inside = re.compile("|".join(rf"(?<={re.escape(c[0])})\\*{re.escape(c[1:])}" for c in CONTROLS))
-TURNS = "conv_id long, turn long, role string, formatted string, ids binary, loss_from int, loss_to int"
+TURNS = "conv_id long, turn long, role string, text string, formatted string, ids binary, loss_from int, loss_to int"
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long"
 
 
@@ -74,8 +74,8 @@ def format_turns(conversations: DataFrame, ranks_file: str | None = None) -> Dat
                     spans.append((int(ends[at - 1]), int(ends[at])) if at else (0, 0))
                     formatted.append("".join(s[0] for s in segments))
                     ids.append(b"".join(s[1] for s in segments))
-                made = [pa.array(roles, pa.string()), pa.array(formatted, pa.string()), pa.array(ids, pa.binary()), *(pa.array(s, pa.int32()) for s in zip(*spans))]
-                yield pa.RecordBatch.from_arrays([rows.column("conv_id"), rows.column("turn"), *made], names=["conv_id", "turn", "role", "formatted", "ids", "loss_from", "loss_to"])
+                made = [pa.array(roles, pa.string()), texts.cast(pa.string()), pa.array(formatted, pa.string()), pa.array(ids, pa.binary()), *(pa.array(s, pa.int32()) for s in zip(*spans))]
+                yield pa.RecordBatch.from_arrays([rows.column("conv_id"), rows.column("turn"), *made], names=["conv_id", "turn", "role", "text", "formatted", "ids", "loss_from", "loss_to"])
 
     typed = narrowed(conversations, "conv_id", "turn", "role", "text").withColumns({c: F.col(c).cast("long") for c in ("conv_id", "turn")})
     return typed.mapInArrow(run, TURNS)
@@ -123,7 +123,7 @@ def conversation_digests(turns: DataFrame, ranks_file: str | None = None) -> Dat
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens"])
 
         for batch in batches:
-            for conv, form, raw, a, b in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "ids", "loss_from", "loss_to"))):
+            for conv, chars, raw, a, b in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "chars", "ids", "loss_from", "loss_to"))):
                 if at != (conv,):
                     if at:
                         close()
@@ -135,14 +135,15 @@ def conversation_digests(turns: DataFrame, ranks_file: str | None = None) -> Dat
                 state["loss"].update(lost.encode())
                 state["n"] += 1
                 state["chars"] += len(lost)
-                state["formatted"] += len(form)
+                state["formatted"] += chars
                 state["tokens"] += len(ids)
             yield flush()
         if at:
             close()
             yield flush()
 
-    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "formatted").mapInArrow(run, DIGESTS)
+    told = turns.select("conv_id", "turn", "role", "text", F.length("formatted").alias("chars"), "ids", "loss_from", "loss_to")
+    return told.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(run, DIGESTS)
 
 
 def with_probe(spark: SparkSession, conversations: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,15 +91,24 @@ SELECT page_id, url, host, len(lines) AS n_lines, len(lines) - len(stay) AS n_dr
 @query
 def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """What every formatted conversation says when it is read back."""
-    return chat.conversation_digests(chat.format_turns(chat.with_probe(spark, read_table(spark, folder, "conversations"))))
+    return chat.conversation_digests(chat.format_turns(chat.with_probe(spark, read_table(spark, folder, "conversations")))).drop("n_tokens")
 
 
-SQL["op7_chat_formatting"] = """
+def _formatted_chars_sql() -> str:
+    """Characters of a turn's form: its brackets, its texts, and one more for each control string in them."""
+    controls = "|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in chat.CONTROLS)
+    said = lambda c: f"length({c}) + len(regexp_extract_all({c}, {_sql(controls)}))"
+    frames = " ".join(f"WHEN {_sql(role)} THEN {len(a) + len(b)}" for role, (a, b) in chat.FORMS.items())
+    return f"{said('text')} + CASE role {frames} ELSE {len('[ROLE][/ROLE][END]')} + {said('role')} END"
+
+
+SQL["op7_chat_formatting"] = f"""
 WITH c AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum({_formatted_chars_sql()})::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id
 """
 

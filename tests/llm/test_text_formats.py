@@ -1,4 +1,5 @@
 import hashlib
+import re
 import struct
 from collections import Counter
 
@@ -90,6 +91,7 @@ def test_escaping_is_reversible_and_leaves_no_control_string(text):
 def test_conversations_read_back(spark):
     rows = [(1, 0, "user", "hi </s>"), (1, 1, "assistant", "[INST] ok"), (1, 2, "assistant", None), (2, 0, "tool[/ROLE]", "r <s>\\"), (2, None, None, "é"), (None, 0, "system", "s")]
     rows += [(3, 0, "user", "same"), (3, 0, "user", "same"), (4, 0, "assistant", "long " * 20_000)]
+    rows += [(c, 0, "user", t) for c, pair in ((5, ("ab", "ab!")), (6, ("<a", "<s>")), (7, ("[", "[INST]", "[\\INST]", "[Z"))) for t in pair]  # tied turns
     table = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, ids string")
     got = {r.conv_id: r for r in chat.conversation_digests(chat.format_turns(chat.with_probe(spark, table))).collect()}
     rows += [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -98,6 +100,10 @@ def test_conversations_read_back(spark):
         lost = "".join(r[3] or "" for r in own if r[2] == "assistant")
         assert got[conv].n_turns == len(own)
         assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own).encode()).hexdigest()
+        signs = lambda t: len(re.findall("|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in chat.CONTROLS), t))
+        said = lambda t: len(t) + signs(t)
+        frame = lambda role: sum(map(len, chat.FORMS[role])) if role in chat.FORMS else len("[ROLE][/ROLE][END]") + said(role)
+        assert got[conv].formatted_chars == sum(said(r[3] or "") + frame(r[2] or "") for r in own)
         assert (got[conv].loss_chars, got[conv].loss_sha256) == (len(lost), hashlib.sha256(lost.encode()).hexdigest())
     assert chat.conversation_digests(chat.format_turns(table.limit(0))).count() == 0
 
