@@ -21,9 +21,10 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from dayrisk.llm.common import Cache, Words, narrowed, settled, text_slices
+from dayrisk.llm.common import Words, narrowed, settled, text_slices
 
 CAPACITY = 2048
+SPECIAL = "<|endoftext|>"
 PIECES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -36,77 +37,117 @@ UNEVEN = r"\x00| (?:[\s\x0b\x{85}\x{1c}-\x{1f}\pZ]|\z)"
 
 
 class ByteTokenizer:
-    """Ids of the byte-level vocabulary ``byte_bpe_50k``; special tokens in a text are ordinary text.
+    """Ids of the byte-level vocabulary ``byte_bpe_50k``.
 
-    A piece of text from one space to before the next is encoded alike wherever it stands, so each distinct piece is encoded once.
+    The special token's string in a text is the special token, or ordinary text if ``special`` is off. A stretch of text from one space
+    to before the next is encoded alike wherever it stands, so the distinct stretches of many texts are encoded as one text.
     """
 
-    def __init__(self, ranks_file: str):
+    def __init__(self, ranks_file: str, special: bool = False):
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.encoding = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.cache = Cache(self.encode)
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
+        self.special = special
+        self.encoding = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)})
+        self.sizes = np.zeros(len(ranks) + 1, np.int64)
+        self.sizes[list(ranks.values())] = list(map(len, ranks))
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, allowed_special={SPECIAL} if self.special else set(), disallowed_special=())
+
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and the bounds of each text in them."""
+        uneven = pc.match_substring_regex(texts, UNEVEN)
+        if self.special:
+            uneven = pc.or_(uneven, pc.match_substring(texts, SPECIAL))
+        words = Words(pc.split_pattern(pc.replace_substring(pc.if_else(uneven, "", texts), " ", "\x00 "), "\x00"))
+        whole = np.flatnonzero(uneven.to_numpy(zero_copy_only=False))
+        # stretches that start with a space stand together in one text; their ids part where the bytes of a stretch end
+        inner = np.fromiter((w[0] == " " for w in words.unique), bool, len(words.unique))
+        joined = self.encoding.encode_to_numpy("".join([w for w in words.unique if w[0] == " "]), disallowed_special=())
+        lone = [self.encode(w) for w in words.unique if w[0] != " "] + [self.encode(texts[int(i)].as_py()) for i in whole]
+        sizes = np.zeros(len(words.unique) + len(whole), np.int64)
+        bytes_of = pc.binary_length(pa.array(words.unique, pa.large_string())).to_numpy(zero_copy_only=False).astype(np.int64)[inner]
+        sizes[: len(inner)][inner] = np.diff(np.searchsorted(np.cumsum(self.sizes[joined]), np.cumsum(bytes_of), "right"), prepend=0)
+        apart = np.append(~inner, np.ones(len(whole), bool))
+        sizes[apart] = list(map(len, lone))
+        flat = np.concatenate([joined, *lone]).astype("<u4")
+        starts = np.empty_like(sizes)
+        starts[~apart] = np.cumsum(sizes[~apart]) - sizes[~apart]
+        starts[apart] = len(joined) + np.cumsum(sizes[apart]) - sizes[apart]
+        owners = np.concatenate([np.repeat(np.arange(len(words)), np.diff(words.bounds)), whole])
+        codes = np.concatenate([words.codes, len(inner) + np.arange(len(whole))]).astype(np.int64)
+        if len(whole):
+            order = np.argsort(owners, kind="stable")
+            owners, codes = owners[order], codes[order]
+        taken = sizes[codes]
+        ends = np.cumsum(taken)
+        ids = flat[np.repeat(starts[codes] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.append(0, np.cumsum(np.bincount(owners, taken, len(words)).astype(np.int64)))
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
         """The ids of every text, as little-endian unsigned 32-bit numbers."""
-        uneven = pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False).astype(bool)
-        even = pc.if_else(pa.array(uneven), "", texts)
-        words = Words(pc.split_pattern(pc.replace_substring(even, " ", "\x00 "), "\x00"))
-        coded = self.cache.all(words.unique)
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        flat, starts = np.frombuffer(b"".join(coded), "<u4"), np.cumsum(sizes) - sizes
-        taken = sizes[words.codes]
-        ends = np.concatenate([[0], np.cumsum(taken)])
-        ids = flat[np.repeat(starts[words.codes] - ends[:-1], taken) + np.arange(ends[-1])].tobytes() if len(taken) else b""
-        cuts = ends[words.bounds] * 4
-        out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
-        for i in np.flatnonzero(uneven):
-            out[i] = self.encode(texts[i].as_py())
-        return out
+        ids, bounds = self.encode_flat(texts)
+        raw, cuts = ids.tobytes(), (4 * bounds).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+_tokenizers: dict[tuple[str, bool], ByteTokenizer] = {}
 
 
-_tokenizers: dict[str, ByteTokenizer] = {}
+def tokenizer(ranks_file: str, special: bool = False) -> ByteTokenizer:
+    """One tokenizer of each kind for each worker process."""
+    if (ranks_file, special) not in _tokenizers:
+        _tokenizers[ranks_file, special] = ByteTokenizer(ranks_file, special)
+    return _tokenizers[ranks_file, special]
 
 
-def tokenizer(ranks_file: str) -> ByteTokenizer:
-    """One tokenizer for each worker process."""
-    if ranks_file not in _tokenizers:
-        _tokenizers[ranks_file] = ByteTokenizer(ranks_file)
-    return _tokenizers[ranks_file]
+def cuts(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, number, start, length) of the pieces of documents of ``sizes`` ids, one at least; a first piece takes what is over."""
+    pieces = (sizes - 1) // capacity + 1
+    owner = np.repeat(np.arange(len(sizes)), pieces)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    first = (sizes - capacity * (pieces - 1))[owner]
+    return owner, number, np.where(number > 0, first + (number - 1) * capacity, 0), np.where(number > 0, capacity, first)
 
 
-def cut(n: int, capacity: int) -> list[tuple[int, int]]:
-    """(start, length) of the pieces of a document of ``n`` ids; the first piece takes what is over."""
-    first = n - capacity * ((n - 1) // capacity)
-    return [(0, first)] + [(a, capacity) for a in range(first, n, capacity)]
+def places_among_equals(values: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """For each value how many equal ones came before it; ``before`` counts those of earlier calls and is carried on."""
+    order = np.argsort(values, kind="stable")
+    ordered = values[order]
+    fresh = np.append(True, ordered[1:] != ordered[:-1]) if len(ordered) else np.zeros(0, bool)
+    start = np.maximum.accumulate(np.where(fresh, np.arange(len(ordered)), 0)) if len(ordered) else ordered
+    out = np.empty(len(values), np.int64)
+    out[order] = before[ordered] + np.arange(len(ordered)) - start
+    before += np.bincount(values, minlength=len(before))
+    return out
 
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, ranks_file: str | None = None, with_ids: bool = False) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, part, rank[, ids])``: every document as pieces of at most ``capacity`` ids.
 
-    A document is its ids and a final 0; null text counts as empty, so it is the single id 0. Rows with the same id are documents
-    of their own. ``part`` and ``rank`` number the pieces of one length within each partition and hold once the rows are settled.
+    A document is its ids and a final 0; null text counts as empty, so it is the single id 0. Rows with the same or a null id are
+    documents of their own. The special token's string in a text is the special token. ``part`` and ``rank`` number the pieces of one length within each partition and hold once the rows are settled.
     """
     file = ranks_file or public_tokenizers.path("byte_bpe_50k.tiktoken")
     schema = T.StructType(PIECES.fields + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, ranks = tokenizer(file).encode_all, TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        encode, part, ranks = tokenizer(file, special=True).encode_flat, TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for rows, texts in text_slices(batch):
-                made = []
-                for doc, ids in zip(rows.column("doc_id").to_pylist(), encode(texts)):
-                    ids += b"\x00\x00\x00\x00"
-                    for number, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                        own = ids[4 * start : 4 * (start + length)]
-                        made.append((doc, number, start, length, zlib.crc32(own), part, int(ranks[length]), *([np.frombuffer(own, "<u4").tolist()] if with_ids else [])))
-                        ranks[length] += 1
-                columns = list(zip(*made)) or [[]] * len(schema)
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()] + [pa.list_(pa.int32())] * with_ids
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=schema.names)
+                ids, bounds = encode(texts)
+                ids = np.insert(ids, bounds[1:], 0).astype("<u4")
+                bounds = bounds + np.arange(len(bounds))
+                owner, number, start, length = cuts(np.diff(bounds), capacity)
+                raw, begin = memoryview(ids.tobytes()), bounds[:-1][owner] + start
+                crc = [zlib.crc32(raw[a:b]) for a, b in zip((4 * begin).tolist(), (4 * (begin + length)).tolist())]
+                made = [
+                    rows.column("doc_id").take(pa.array(owner)), pa.array(number, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64()),
+                    pa.array(np.full(len(owner), part), pa.int32()), pa.array(places_among_equals(length, ranks)),
+                ]
+                if with_ids:
+                    made.append(pa.ListArray.from_arrays(pa.array(np.append(begin, len(ids)), pa.int32()), pa.array(ids.astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(made, names=schema.names)
 
     return narrowed(docs, id_col, text).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, schema)
 

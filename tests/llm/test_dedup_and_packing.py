@@ -2,6 +2,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -71,10 +72,9 @@ def test_fullest_combination_is_the_best_there_is():
 
 
 def test_pieces_are_the_tokenizers_ids_and_fit_together(spark):
-    texts = ["one two", None, "", " lead", "tail ", "a  b", "x\n\n y", "nul\x00 z", "<|endoftext|> it's 12345", "日本語 テキスト 　x", "a  b", prose(1, 6000), "Z" * 9000, "same", "same"]
+    texts = ["one two", None, "", " lead", "tail ", "a  b", "x\n\n y", "nul\x00 z", "<|endoftext|> it's 12345", "a <|endoftext|> b<|endoftext|>", "日本語 テキスト 　x", "a  b", prose(1, 6000), "Z" * 9000, "same", "same"]
     docs = documents(spark, texts).repartition(3)
     encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    encode.encode_special_tokens = True
     rows = packing.pack_documents(docs).toPandas()
     for i, text in enumerate(texts):
         ids = encode.encode(text or "", add_special_tokens=False).ids + [0]
@@ -92,6 +92,30 @@ def test_pieces_are_the_tokenizers_ids_and_fit_together(spark):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+PARTS = st.sampled_from([" ", "  ", "\n", "\t", "a", "Word", " the", "'s", "42", "é", "日本", "\x00", "\u3000", "\x85", "<|endoftext|>", "<|", "😀"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(PARTS, max_size=12).map("".join), min_size=1, max_size=6), st.booleans())
+def test_stretches_encoded_together_give_the_ids_of_whole_texts(texts, special):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    plain.encode_special_tokens = not special
+    ids, bounds = packing.tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), special).encode_flat(pa.array(texts, pa.large_string()))
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 6), max_size=20), max_size=4))
+def test_places_among_equals(batches):
+    before, seen = np.zeros(7, np.int64), {}
+    for values in batches:
+        got = packing.places_among_equals(np.array(values, np.int64), before)
+        for v, place in zip(values, got.tolist()):
+            assert place == seen.get(v, 0)
+            seen[v] = place + 1
+
+
 def test_signatures_agree_as_often_as_the_multisets_overlap():
     draw = np.random.default_rng(3)
     agree, overlap = [], []
