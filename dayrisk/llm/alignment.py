@@ -22,11 +22,9 @@ import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from dayrisk.llm.common import CACHE_ENTRIES, Words, narrowed, settled, text_slices
+from dayrisk.llm.common import Words, narrowed, settled, text_slices
 from dayrisk.llm.packing import UNEVEN, tokenizer
 
-#: Longer stretches between spaces are encoded each time: the memo stays small.
-MEMO_CHARS = 64
 MARK = "▁"
 
 
@@ -38,7 +36,7 @@ def piece_bytes(piece: str) -> bytes:
 
 
 class TwinTokenizer:
-    """Both tokenizers over a space and a text; a stretch from one space to before the next is encoded once, as neither joins over it."""
+    """Both tokenizers over a space and a text; distinct stretches from one space to before the next are encoded once, as neither joins over it."""
 
     def __init__(self, ranks_file: str, pieces_file: str):
         self.first = tokenizer(ranks_file).encoding
@@ -49,26 +47,30 @@ class TwinTokenizer:
         self.a_size, self.b_size = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
         words = lambda n, ends: np.array([f"{i}{end}".encode() for end in ends for i in range(n)], object)
         self.a_words, self.b_words = words(len(self.a_bytes), ",|"), words(len(self.b_bytes), ",;")
-        self.memo: dict[str, tuple[bytes, bytes, bool]] = {}
 
-    def encode(self, stretches: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        """Ids of both and whether both spell the stretch, for stretches that start with a space."""
-        out = []
-        firsts = self.first.encode_ordinary_batch(stretches, num_threads=1)
-        for text, a, b in zip(stretches, firsts, self.second.encode([s[1:] for s in stretches], num_threads=1)):
-            spelt = text.encode()
-            same = b"".join([self.b_bytes[i] for i in b]) == spelt and b"".join([self.a_bytes[i] for i in a]) == spelt
-            out.append((np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes(), same))
-        return out
-
-    def encode_memo(self, stretches: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        memo = self.memo
-        if len(memo) > CACHE_ENTRIES:
-            memo.clear()
-        new = [s for s in stretches if s not in memo]
-        fresh = dict(zip(new, self.encode(new))) if new else {}
-        memo.update((s, x) for s, x in fresh.items() if len(s) <= MEMO_CHARS)
-        return [fresh[s] if s in fresh else memo[s] for s in stretches]
+    def encode(self, joint: list[str], apart: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """For both tokenizers the ids of all stretches and how many each has; and whether both spell each stretch.
+
+        Stretches start with a space; the ``joint`` ones may stand next to each other in one text for the first tokenizer.
+        """
+        stretches = joint + apart
+        size = np.fromiter((len(s.encode()) for s in stretches), np.int64, len(stretches))
+        parts = [self.first.encode_to_numpy(x, disallowed_special=()) for x in ("".join(joint), *apart)]
+        counts = np.append(
+            np.diff(np.searchsorted(np.cumsum(self.a_size[parts[0]]), np.cumsum(size[: len(joint)]), "right"), prepend=0), np.array([len(x) for x in parts[1:]], np.int64)
+        ).astype(np.int64)
+        seconds = self.second.encode([s[1:] for s in stretches], num_threads=1)
+        coded = [
+            (np.concatenate(parts).astype(np.int64), counts),
+            (np.fromiter((i for ids in seconds for i in ids), np.int64), np.fromiter(map(len, seconds), np.int64, len(seconds))),
+        ]
+        same = np.ones(len(stretches), bool)
+        for (ids, n), spelt in zip(coded, (self.a_bytes, self.b_bytes)):
+            said = b"".join([spelt[i] for i in ids.tolist()])
+            if said != "".join(stretches).encode():
+                ends = np.cumsum(n)
+                same &= [b"".join([spelt[i] for i in ids[e - k : e].tolist()]) == s.encode() for s, e, k in zip(stretches, ends, n)]
+        return coded, same
 
     def tokens(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of both for all texts together, and the bounds of each text in them; texts that have no tokens have none in both."""
@@ -77,23 +79,22 @@ class TwinTokenizer:
         uneven = pc.match_substring_regex(spaced, UNEVEN).to_numpy(zero_copy_only=False) & ~empty
         words = Words(pc.split_pattern(pc.replace_substring(pc.if_else(pa.array(uneven | empty), "", spaced), " ", "\x00 "), "\x00"))
         whole = np.flatnonzero(uneven)
-        coded = self.encode_memo(words.unique) + self.encode([spaced[int(i)].as_py() for i in whole])
+        coded, same = self.encode(words.unique, [spaced[int(i)].as_py() for i in whole])
         owners = np.concatenate([np.repeat(np.arange(len(words)), np.diff(words.bounds)), whole])
         codes = np.concatenate([words.codes, len(words.unique) + np.arange(len(whole))]).astype(np.int64)
-        order = np.argsort(owners, kind="stable")
-        owners, codes = owners[order], codes[order]
+        if len(whole):
+            order = np.argsort(owners, kind="stable")
+            owners, codes = owners[order], codes[order]
         broken = np.zeros(len(words), bool)
-        broken[owners[~np.array([x[2] for x in coded], bool)[codes]]] = True
+        broken[owners[~same[codes]]] = True
         stay = ~broken[owners]
         owners, codes = owners[stay], codes[stay]
         out = []
-        for k in range(2):
-            flat, sizes = np.frombuffer(b"".join([x[k] for x in coded]), "<u4"), np.fromiter((len(x[k]) // 4 for x in coded), np.int64, len(coded))
-            starts, taken = np.cumsum(sizes) - sizes, sizes[codes]
+        for flat, sizes in coded:
+            taken = sizes[codes]
             ends = np.cumsum(taken)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(flat[np.repeat(starts[codes] - (ends - taken), taken) + np.arange(total)].astype(np.int64))
-            out.append(np.concatenate([[0], np.cumsum(np.bincount(owners, taken, len(words)).astype(np.int64))]))
+            at = np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)
+            out += [flat[at], np.append(0, np.cumsum(np.bincount(owners, taken, len(words)).astype(np.int64)))]
         return out[0], out[2], out[1], out[3]
 
 
