@@ -2,30 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dayrisk.functions.scalars import sigmoid
+from dayrisk.operators.isotonic import IsotonicCurve, isotonic_curve
 from dayrisk.operators.linear import fit_logit
 
 
-def isotonic_fit(df: DataFrame, y: str = "y", p: str = "p") -> IsotonicRegressionModel:
-    """Non-decreasing calibration curve by pooling adjacent violators.
+def isotonic_fit(df: DataFrame, y: str = "y", p: str = "p") -> IsotonicCurve:
+    """Non-decreasing calibration curve by pooling adjacent violators; rows without score or label are left out."""
+    return isotonic_curve(df, y, p)
 
-    Rows are first reduced to one weighted mean per distinct score, which changes nothing in the
-    fit and leaves the pooling with distinct scores only.
-    """
-    per_score = (
-        df.where(F.col(p).isNotNull() & F.col(y).isNotNull())
-        .groupBy(F.col(p).cast("double").alias("score"))
-        .agg(F.avg(F.col(y).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
-    )
-    return IsotonicRegression(featuresCol="score", labelCol="label", weightCol="weight").fit(per_score)
 
-
-def isotonic_predict(df: DataFrame, curve: IsotonicRegressionModel, p: str = "p", out: str = "calibrated") -> DataFrame:
+def isotonic_predict(df: DataFrame, curve: IsotonicCurve, p: str = "p", out: str = "calibrated") -> DataFrame:
     """Interpolate between the knots; scores beyond the fitted range take the end values."""
-    return curve.copy({curve.featuresCol: p, curve.predictionCol: out}).transform(df)
+    return curve.predict(df, p, out)
 
 
 def conformal_clip(p: Column, q: float) -> Column:

@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dayrisk.functions.scalars import sigmoid
+from dayrisk.operators.many_fits import fit_rows, newton
 
 
 @dataclass(frozen=True)
@@ -50,20 +50,15 @@ def balanced_weights(df: DataFrame, y: str = "y") -> DataFrame:
     return df.withColumn("weight", weight)
 
 
-def fit_logit(
-    df: DataFrame, features: Sequence[str], y: str = "y", C: float = 1.0, weight: str | None = None, max_iter: int = 500
-) -> LinearFit:
-    """Minimise ``C * sum(w * loss) + |coefficients|^2 / 2``, intercept free."""
-    size = df.agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("double").alias("n")).first()["n"]
-    if not size:
-        raise ValueError("no rows to fit")
-    data = vectors(
-        df, features, [F.col(y).cast("double").alias("label"), (F.col(weight) if weight else F.lit(1.0)).alias("weight")]
-    )
-    model = LogisticRegression(
-        weightCol="weight", regParam=1.0 / (C * size), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-10
-    ).fit(data)
-    return LinearFit(tuple(features), tuple(float(w) for w in model.coefficients), float(model.intercept))
+def fit_logit(df: DataFrame, features: Sequence[str], y: str = "y", C: float = 1.0, weight: str | None = None) -> LinearFit:
+    """Minimise ``C * sum(w * loss) + |coefficients|^2 / 2``, intercept free. Rows without a label or a feature are left out."""
+    return fit_logits(df, features, y, [F.col(weight) if weight else F.lit(1.0)], C)[0]
+
+
+def fit_logits(df: DataFrame, features: Sequence[str], y: str, weights: Sequence[Column], C: float | Sequence[float] = 1.0) -> list[LinearFit]:
+    """A logit for every column of row weights, all of them by the same passes over the rows."""
+    found = newton(fit_rows(df.dropna("any", subset=[*features, y]), features, y, weights), len(weights), C)
+    return [LinearFit(tuple(features), tuple(map(float, beta)), intercept) for beta, intercept in found]
 
 
 def _fit_linear(df: DataFrame, features: Sequence[str], y: str, penalties) -> LinearFit:

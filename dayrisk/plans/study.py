@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from dayrisk.constants import SEED
 from dayrisk.operators.calibration import conformal_clip, isotonic_fit, isotonic_predict, platt_fit, platt_predict
-from dayrisk.operators.classifiers import Fitted
+from dayrisk.operators.classifiers import Fitted, fit_members
 from dayrisk.operators.columns import interaction_names, interactions
 from dayrisk.operators.folds import expanding_folds, holdout_cut
 from dayrisk.operators.linear import fit_elastic_net, fit_lasso, fit_ols, fit_ridge
@@ -23,7 +23,7 @@ from dayrisk.operators.order_stats import first_best
 from dayrisk.operators.ransac import fit_ransac
 from dayrisk.plans.baselines import climatology, persistence
 from dayrisk.plans.panel import feature_groups
-from dayrisk.session import side_by_side
+from dayrisk.session import settled, side_by_side
 
 Fit = Callable[[DataFrame, Sequence[str], str], Fitted]
 
@@ -49,39 +49,48 @@ def in_fold(panel: DataFrame, name: str) -> DataFrame:
     return panel.where(F.col("fold") == name)
 
 
-def cross_validated_auc(train: DataFrame, features: Sequence[str], fit: Fit, splits: int = 5, y: str = "target") -> float:
-    """Mean ROC-AUC over expanding time folds; weights are recomputed in every fold.
+def _cross_validated(rows: DataFrame, models: Mapping[str, Sequence[Fitted]], y: str) -> dict[str, float]:
+    """Mean ROC-AUC of each model over the folds ``test_fold`` = 1, 2 ... of ``rows``; model ``k`` is tested on fold ``k + 1``.
 
     A fold whose test stretch has one class only has no AUC and is an error, as it would be undefined.
     """
-    rows = expanding_folds(train, splits).persist()
-    try:
-        def fold(k: int) -> DataFrame:
-            model = fit(rows.where(F.col("test_fold") < k), features, y)
-            return model.score(rows.where(F.col("test_fold") == k)).select("test_fold", F.col(y).alias("y"), "p")
-
-        with kept(reduce(DataFrame.unionByName, side_by_side(fold, range(1, splits + 1)))) as scored:
-            aucs = [r["roc_auc"] for r in ranking_scores(scored, by=["test_fold"]).collect()]
-    finally:
-        rows.unpersist()
-    if len(aucs) < splits or any(a is None for a in aucs):
+    parts = [
+        model.score(rows.where(F.col("test_fold") == k)).select(F.lit(name).alias("model"), "test_fold", F.col(y).alias("y"), "p")
+        for name, fold_models in models.items() for k, model in enumerate(fold_models, 1)
+    ]
+    scored = settled(reduce(DataFrame.unionByName, parts))
+    found: dict[str, list] = {name: [] for name in models}
+    for r in ranking_scores(scored, by=["model", "test_fold"]).collect():
+        found[r["model"]].append(r["roc_auc"])
+    if any(len(aucs) < len(models[name]) or None in aucs for name, aucs in found.items()):
         raise ValueError("a test fold holds one class only")
-    return sum(aucs) / len(aucs)
+    return {name: sum(aucs) / len(aucs) for name, aucs in found.items()}
+
+
+def cross_validated_auc(train: DataFrame, features: Sequence[str], fit: Fit, splits: int = 5, y: str = "target") -> float:
+    """Mean ROC-AUC over expanding time folds; weights are recomputed in every fold. The folds' models are fitted together."""
+    rows = settled(expanding_folds(train, splits))
+    models = fit_members(fit, rows, features, y, [F.col("test_fold") < k for k in range(1, splits + 1)])
+    return _cross_validated(rows, {"model": models}, y)["model"]
 
 
 def compare_models(
-    panel: DataFrame, features: Sequence[str], fits: Mapping[str, Fit], score_on: str = "val", cv: bool = True, y: str = "target"
+    panel: DataFrame, features: Sequence[str], fits: Mapping[str, Fit], score_on: str = "val", cv: bool = True, y: str = "target", splits: int = 5
 ) -> DataFrame:
-    """One row per model: cross-validated AUC and scores on a later fold, all models scored in one job."""
-    train, later = in_fold(panel, "train"), in_fold(panel, score_on)
-
-    def one(item: tuple[str, Fit]):
-        name, fit = item
-        part = fit(train, features, y).score(later).select(F.lit(name).alias("model"), F.col(y).alias("y"), "p")
-        return part, (name, cross_validated_auc(train, features, fit, y=y) if cv else None)
+    """One row per model: cross-validated AUC and scores on a later fold.
 
-    parts, cv_rows = zip(*side_by_side(one, fits.items()))
-    placed = [(*row, place) for place, row in enumerate(cv_rows)]
+    Of each kind the model on all of train and those of the folds are fitted together; all scores are evaluated together.
+    """
+    rows, later = in_fold(panel, "train"), in_fold(panel, score_on)
+    members = [F.lit(True)]
+    if cv:
+        rows = expanding_folds(rows, splits)
+        members += [F.col("test_fold") < k for k in range(1, splits + 1)]
+    rows = settled(rows)
+    models = dict(zip(fits, side_by_side(lambda fit: fit_members(fit, rows, features, y, members), fits.values(), 3)))
+    parts = [own[0].score(later).select(F.lit(name).alias("model"), F.col(y).alias("y"), "p") for name, own in models.items()]
+    aucs = _cross_validated(rows, {name: own[1:] for name, own in models.items()}, y) if cv else dict.fromkeys(fits)
+    placed = [(name, aucs[name], place) for place, name in enumerate(fits)]
     validated = panel.sparkSession.createDataFrame(placed, "model string, cv_roc_auc double, place int")
     return metric_rows(reduce(DataFrame.unionByName, parts)).join(F.broadcast(validated), "model")  # one row per model
 
@@ -105,17 +114,15 @@ def ablation_sets(columns: Sequence[str]) -> dict[str, list[str]]:
 
 
 def ablation(panel: DataFrame, sets: Mapping[str, Sequence[str]], fit: Fit, y: str = "target") -> DataFrame:
-    """The same model on nested feature sets; rows stay fixed."""
-    train, later = in_fold(panel, "train"), in_fold(panel, "val")
-
-    def rung(item: tuple[str, Sequence[str]]) -> DataFrame:
-        name, columns = item
-        return fit(train, columns, y).score(later).select(
-            F.lit(name).alias("feature_set"), F.lit(len(columns)).cast("bigint").alias("n_cols"), F.col(y).alias("y"), "p"
-        )
-
-    scored = reduce(DataFrame.unionByName, side_by_side(rung, sets.items()))
-    return metric_rows(scored, by=["feature_set", "n_cols"]).select("feature_set", "n_cols", "roc_auc", "tss")
+    """The same model on nested feature sets; rows stay fixed. Models that can grow on several sets at once do."""
+    train, later = settled(in_fold(panel, "train")), in_fold(panel, "val")
+    together = getattr(fit, "of_sets", None)
+    models = together(train, list(sets.values()), y) if together else side_by_side(lambda columns: fit(train, columns, y), sets.values())
+    parts = [
+        model.score(later).select(F.lit(name).alias("feature_set"), F.lit(len(columns)).cast("bigint").alias("n_cols"), F.col(y).alias("y"), "p")
+        for (name, columns), model in zip(sets.items(), models)
+    ]
+    return metric_rows(reduce(DataFrame.unionByName, parts), by=["feature_set", "n_cols"]).select("feature_set", "n_cols", "roc_auc", "tss")
 
 
 def regressor_table(

@@ -8,13 +8,14 @@ from dataclasses import asdict, dataclass
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dayrisk.functions.scalars import decide
 from dayrisk.operators.calibration import isotonic_predict
-from dayrisk.operators.classifiers import Fitted, scorer_of
+from dayrisk.operators.classifiers import AveragedLogit, Fitted, KernelFit, fitted, scorer_of
+from dayrisk.operators.isotonic import IsotonicCurve
 from dayrisk.operators.linear import LinearFit
+from dayrisk.operators.trees import TreeEnsemble
 from dayrisk.plans.panel import FittedPanel, PanelConfig
 
 
@@ -24,7 +25,7 @@ class Bundle:
 
     panel: FittedPanel
     model: Fitted
-    calibrator: IsotonicRegressionModel
+    calibrator: IsotonicCurve
     margin: float
     config: PanelConfig | None = None
 
@@ -35,17 +36,25 @@ class Bundle:
         return isotonic_predict(raw, self.calibrator, "p_raw", "p").withColumn("decision", decide(F.col("p"), self.margin))
 
     def save(self, spark: SparkSession, path: str) -> None:
+        """Parameters and curves as Parquet, the rest as JSON; any model of ``operators.classifiers``."""
         self.panel.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/params")
-        self.calibrator.write().overwrite().save(f"{path}/calibrator")
+        self.calibrator.table.coalesce(1).write.mode("overwrite").parquet(f"{path}/calibrator")
         about = {"margin": self.margin, "model": self.model.name, "config": asdict(self.config) if self.config else None}
-        if isinstance(self.model.model, LinearFit):
-            fit = self.model.model
-            about["linear"] = {"features": fit.features, "weights": fit.weights, "intercept": fit.intercept}
-        elif self.model.name not in ("forest", "boosting"):
-            raise TypeError(f"a bundle holds a logit, forest or boosting model, not {self.model.name}")
+        model = self.model.model
+        if isinstance(model, LinearFit):
+            about["linear"] = asdict(model)
+        elif isinstance(model, KernelFit):
+            about["kernel"] = asdict(model)
+        elif isinstance(model, AveragedLogit):
+            about["members"] = [asdict(fit) for fit, _ in model.fits]
+            for k, (_, curve) in enumerate(model.fits):
+                curve.table.coalesce(1).write.mode("overwrite").parquet(f"{path}/curve-{k}")
+        elif isinstance(model, TreeEnsemble):
+            about["trees"] = {"features": model.features, "base": model.base}
+            spark.createDataFrame(model.table()).coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
         else:
             assembler = VectorAssembler(inputCols=self.panel.features, outputCol="features")
-            PipelineModel([assembler, self.model.model]).write().overwrite().save(f"{path}/model")
+            PipelineModel([assembler, model]).write().overwrite().save(f"{path}/model")
         text = spark.createDataFrame([(json.dumps(about),)], "value string")
         text.coalesce(1).write.mode("overwrite").text(f"{path}/about")
 
@@ -55,13 +64,19 @@ class Bundle:
             about = json.loads(spark.read.text(f"{path}/about").first()["value"])
         except AnalysisException as error:
             raise FileNotFoundError(f"no fitted bundle at {path}; fit and save one first") from error
-        built = about.get("config")
-        config = PanelConfig(**{k: tuple(v) if isinstance(v, list) else v for k, v in built.items()}) if built else None
+        listed = lambda made: {k: tuple(v) if isinstance(v, list) else v for k, v in made.items()}
+        config = PanelConfig(**listed(about["config"])) if about.get("config") else None
         panel = FittedPanel.from_frame(spark.read.parquet(f"{path}/params"))
         if "linear" in about:
-            fit = LinearFit(tuple(about["linear"]["features"]), tuple(about["linear"]["weights"]), about["linear"]["intercept"])
-            model = Fitted(about["model"], fit, lambda rows: rows.withColumn("p", fit.probability()))
+            model = fitted(about["model"], LinearFit(**listed(about["linear"])))
+        elif "kernel" in about:
+            model = fitted(about["model"], KernelFit(**listed(about["kernel"])))
+        elif "members" in about:
+            curves = [IsotonicCurve(spark.read.parquet(f"{path}/curve-{k}")) for k in range(len(about["members"]))]
+            model = fitted(about["model"], AveragedLogit(tuple((LinearFit(**listed(fit)), curve) for fit, curve in zip(about["members"], curves))))
+        elif "trees" in about:
+            model = fitted(about["model"], TreeEnsemble.of_table(spark.read.parquet(f"{path}/model").toPandas(), **about["trees"]))
         else:
             stages = PipelineModel.load(f"{path}/model").stages
             model = Fitted(about["model"], stages[-1], scorer_of(stages[-1], panel.features))
-        return cls(panel, model, IsotonicRegressionModel.load(f"{path}/calibrator"), about["margin"], config)
+        return cls(panel, model, IsotonicCurve(spark.read.parquet(f"{path}/calibrator")), about["margin"], config)
