@@ -202,5 +202,5 @@ def first_best(df: DataFrame, score: str, *ties: str | Column) -> DataFrame:
 
 
 def hashed_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """A fixed pseudo-random sample of ``n`` rows: those with the smallest seeded hash of the key."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """A fixed pseudo-random sample of ``n`` rows: those with the smallest MD5 of ``seed:key``, whatever engine computes it."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)

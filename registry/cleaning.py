@@ -203,7 +203,10 @@ def class_subset(spark, folder):
     return rounded(kept.select("event_id", "anomaly_date", "ADIAG"))
 
 
-@query("hashed_sample")
+@query(
+    "hashed_sample",
+    f"SELECT o_orderkey AS event_id, o_totalprice AS weight FROM orders ORDER BY md5('{SEED}:' || o_orderkey), o_orderkey LIMIT 2000",
+)
 def sample(spark, folder):
     return hashed_sample(raw_catalogue(spark, folder).select("event_id", "weight"), "event_id", 2000, SEED)
 

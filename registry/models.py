@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dayrisk.operators import classifiers as c
 from dayrisk.operators import clusters
-from dayrisk.operators.calibration import platt_fit, platt_predict
 from dayrisk.operators.daily import to_daily
 from dayrisk.operators.density import dbscan
 from dayrisk.operators.labels import daily_event_counts, fold_column
@@ -15,7 +14,7 @@ from dayrisk.operators.metrics import evaluate
 from dayrisk.operators.ransac import fit_ransac
 from dayrisk.plans import study
 from dayrisk.plans.baselines import climatology, persistence
-from dayrisk.plans.hypotheses import events_with_phase, next_day_odds, phase_by_class, regimes_beyond_index
+from dayrisk.plans.hypotheses import events_with_phase, regimes_beyond_index
 from dayrisk.plans.panel import FittedPanel, align_target, daily_features, feature_groups, fit_panel
 from dayrisk.plans.scoring import scenario_rows, score_scenarios
 from dayrisk.sources.bundle import Bundle
@@ -146,13 +145,6 @@ def ablation(spark, folder):
     return study.ablation(_panel(spark, folder), study.ablation_sets(_FEATURES), c.forest)
 
 
-@query("platt")
-def platt(spark, folder):
-    scores = line_scores(spark, folder)
-    slope, intercept = platt_fit(scores)
-    return scores.select("p").distinct().withColumn("calibrated", platt_predict(F.col("p"), slope, intercept))
-
-
 @query("calibrations")
 def recalibrated(spark, folder):
     return study.calibration_table(study.calibrations(_panel(spark, folder), BASE, c.logit))
@@ -206,34 +198,19 @@ def one_orbit(spark, folder):
 
 
 # --- hypotheses ---------------------------------------------------------------------------------
-@query("lr_test_next_day")
-def odds(spark, folder):
-    labels = rare_labels(spark, folder).where(F.col("date") <= F.lit(LONG_CUTS["train"]).cast("date"))
-    return next_day_odds(long_drivers(spark, folder), labels)
-
-
-_DAY_PHASE = f"""phases AS (SELECT CAST(ts AS DATE) AS d, CASE WHEN Dst <= -30 AND change < 0 THEN 'phase_main'
+DAY_PHASE = f"""phases AS (SELECT CAST(ts AS DATE) AS d, CASE WHEN Dst <= -30 AND change < 0 THEN 'phase_main'
     WHEN Dst <= -30 AND change >= 0 THEN 'phase_recovery' ELSE 'phase_quiet' END AS phase
     FROM (SELECT ts, Dst, Dst - {_lag('Dst', 1)} AS change FROM long_drivers)),
   t AS (SELECT ADIAG AS r, phase AS c, count(*) AS n FROM catalogue JOIN phases ON d = anomaly_date WHERE is_environmental GROUP BY 1, 2),
   e AS (SELECT r, c, n, sum(n) OVER (PARTITION BY r) * sum(n) OVER (PARTITION BY c) / sum(n) OVER () AS x FROM t)"""
 
 
-@query("phase_crosstab", f"WITH {CATALOGUE_SQL}, {LONG_SQL}, {_DAY_PHASE} SELECT r AS ADIAG, c AS phase, n FROM t")
+@query("phase_crosstab", f"WITH {CATALOGUE_SQL}, {LONG_SQL}, {DAY_PHASE} SELECT r AS ADIAG, c AS phase, n FROM t")
 def phase_counts(spark, folder):
     rows = events_with_phase(events_catalogue(spark, folder), long_drivers(spark, folder))
     return rows.groupBy("ADIAG", "phase").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    "phase_chi_square",
-    rounded_sql("FROM (SELECT sum(n * n / x) - sum(n) AS chi2, (count(DISTINCT r) - 1) * (count(DISTINCT c) - 1) AS dof FROM e)",
-                "chi2", "dof", digits=6, ctes=f"{CATALOGUE_SQL}, {LONG_SQL}, {_DAY_PHASE}"),
-)
-def phase_test(spark, folder):
-    return rounded(phase_by_class(events_catalogue(spark, folder), long_drivers(spark, folder)).drop("p_value"), 6)
-
-
 @query("lr_test_regimes")
 def regimes(spark, folder):
     labels = rare_labels(spark, folder).where(F.col("date") <= F.lit(LONG_CUTS["train"]).cast("date"))
