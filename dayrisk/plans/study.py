@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from dayrisk.constants import SEED
 from dayrisk.operators.calibration import conformal_clip, isotonic_fit, isotonic_predict, platt_fit, platt_predict
 from dayrisk.operators.classifiers import Fitted, fit_members
+from dayrisk.operators.clusters import rate_spread, silhouette_squared
 from dayrisk.operators.columns import interaction_names, interactions
 from dayrisk.operators.folds import expanding_folds, holdout_cut
 from dayrisk.operators.linear import fit_elastic_net, fit_lasso, fit_ols, fit_ridge
@@ -148,6 +149,60 @@ def regressor_table(
     return regression_scores(long, y, "p", by=["model"])
 
 
+def headline_model(panel: DataFrame, features: Sequence[str], fits: Mapping[str, Fit], y: str = "target", digits: int = 3) -> str:
+    """Name of the model that the validation fold selects: every candidate fitted on train, the best rounded skill wins."""
+    return select_model(compare_models(panel, features, fits, cv=False, y=y), digits)
+
+
+def validation_table(
+    panel: DataFrame, labels: DataFrame, features: Sequence[str], fit: Fit, label: str = "any_environmental", y: str = "target", keys: Sequence[str] = ()
+) -> DataFrame:
+    """Persistence, climatology and a model, fitted on train, on the validation fold."""
+    return forecast_table(panel, labels, fit(in_fold(panel, "train"), features, y).score(in_fold(panel, "val")), "val", label, y, keys)
+
+
+def forecast_table(
+    panel: DataFrame, labels: DataFrame, scored: DataFrame, fold: str, label: str = "any_environmental", y: str = "target", keys: Sequence[str] = ()
+) -> DataFrame:
+    """Persistence, climatology and the scores of a model on one fold.
+
+    A constant forecast has no skill by definition; persistence, being 0 or 1, gets no ranking scores.
+    """
+    rows = in_fold(panel, fold).select(*keys, "date", F.col(y).alias("y"))
+    same = persistence(rows, labels, label, keys).select("y", F.col("predicted").cast("double").alias("p"))
+    flat = climatology(rows, in_fold(panel, "train"), y).select("y", "p")
+    parts = {"persistence": same, "climatology": flat, "model": scored.select(F.col(y if y in scored.columns else "y").alias("y"), "p")}
+    table = metric_rows(reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("model"), "y", "p") for name, df in parts.items()]))
+    is_same, is_flat = F.col("model") == "persistence", F.col("model") == "climatology"
+    return table.select(
+        "model",
+        *[F.when(is_flat, F.lit(0.0)).otherwise(F.col(c)).alias(c) for c in ("tss", "hss")],
+        F.when(is_flat, F.lit(0.5)).when(~is_same, F.col("roc_auc")).alias("roc_auc"),
+        F.when(is_flat, F.col("base_rate")).when(~is_same, F.col("average_precision")).alias("average_precision"),
+        "brier",
+        "ece",
+    )
+
+
+def cluster_table(rows: DataFrame, axes: Sequence[str], methods: Mapping[str, Callable[[DataFrame], DataFrame]], y: str = "target") -> DataFrame:
+    """``(method, n_clusters, silhouette, pos_rate_spread)``: clusterings of the same projected rows, side by side.
+
+    ``methods`` add a column ``cluster``. The silhouette is the one-pass form with squared distances, noise being a cluster; it is null with fewer
+    than two others.
+    """
+    rows = settled(rows)
+
+    def one(item: tuple[str, Callable]):
+        name, method = item
+        found = settled(method(rows).select(*axes, y, "cluster"))
+        clusters = found.agg(F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster")))).first()[0]
+        silhouette = silhouette_squared(found, axes) if clusters > 1 else None
+        return name, clusters, silhouette, rate_spread(found, y).first()[0]
+
+    found = side_by_side(one, methods.items(), 3)
+    return rows.sparkSession.createDataFrame(found, "method string, n_clusters bigint, silhouette double, pos_rate_spread double")  # one row per method
+
+
 def calibrations(panel: DataFrame, features: Sequence[str], fit: Fit, alpha: float = 0.1, y: str = "target") -> DataFrame:
     """Validation scores ``(model, y, p)`` of the raw model and of three recalibrations.
 
@@ -184,37 +239,29 @@ class LockedTest:
         keys: Sequence[str] = (),
     ):
         self.panel, self.labels, self.features, self.label, self.y, self.keys = panel, labels, list(features), label, y, list(keys)
-        parts = holdout_cut(in_fold(panel, "train"))
+        self._scored: dict[str, DataFrame] = {}
+        parts = settled(holdout_cut(in_fold(panel, "train")))
         self.model = fit(parts.where("part = 'fit'"), self.features, y)
         self.curve = isotonic_fit(self.model.score(parts.where("part = 'calibrate'")).select(F.col(y).alias("y"), "p"))
 
+    @classmethod
+    def of_best(cls, panel: DataFrame, labels: DataFrame, features: Sequence[str], fits: Mapping[str, Fit], y: str = "target", **options) -> LockedTest:
+        """The whole chain: the validation fold selects one of ``fits``, which is fitted anew, calibrated, tuned and tested."""
+        return cls(panel, labels, features, fits[headline_model(panel, features, fits, y)], y=y, **options)
+
     def scores(self, fold: str) -> DataFrame:
-        """``(keys..., date, y, p)`` with calibrated p."""
-        raw = self.model.score(in_fold(self.panel, fold)).withColumnRenamed("p", "_raw")
-        return isotonic_predict(raw, self.curve, "_raw", "p").select(*self.keys, "date", F.col(self.y).alias("y"), "p")
+        """``(keys..., date, y, p)`` with calibrated p, computed once for all figures."""
+        if fold not in self._scored:
+            raw = settled(self.model.score(in_fold(self.panel, fold)).select(*self.keys, "date", F.col(self.y).alias("y"), F.col("p").alias("_raw")))
+            self._scored[fold] = settled(isotonic_predict(raw, self.curve, "_raw", "p").select(*self.keys, "date", "y", "p"))
+        return self._scored[fold]
 
     def threshold(self) -> float:
         return best_threshold(threshold_sweep(self.scores("val"))).first()["threshold"]
 
     def report(self) -> DataFrame:
-        """Persistence, climatology and the model on the test fold.
-
-        A constant forecast has no skill by definition; persistence, being 0 or 1, gets no ranking scores.
-        """
-        test = in_fold(self.panel, "test").select(*self.keys, "date", F.col(self.y).alias("y"))
-        same = persistence(test, self.labels, self.label, self.keys).select("y", F.col("predicted").cast("double").alias("p"))
-        flat = climatology(test, in_fold(self.panel, "train"), self.y).select("y", "p")
-        named = lambda df, name: df.select(F.lit(name).alias("model"), "y", "p")
-        rows = metric_rows(named(same, "persistence").unionByName(named(flat, "climatology")).unionByName(named(self.scores("test"), "model")))
-        is_same, is_flat = F.col("model") == "persistence", F.col("model") == "climatology"
-        return rows.select(
-            "model",
-            *[F.when(is_flat, F.lit(0.0)).otherwise(F.col(c)).alias(c) for c in ("tss", "hss")],
-            F.when(is_flat, F.lit(0.5)).when(~is_same, F.col("roc_auc")).alias("roc_auc"),
-            F.when(is_flat, F.col("base_rate")).when(~is_same, F.col("average_precision")).alias("average_precision"),
-            "brier",
-            "ece",
-        )
+        """Persistence, climatology and the model on the test fold."""
+        return forecast_table(self.panel, self.labels, self.scores("test"), "test", self.label, self.y, self.keys)
 
     def operating_points(self) -> DataFrame:
         return operating_points(self.scores("test"), {"threshold 0.5": 0.5, "tuned": self.threshold(), "always no": None})

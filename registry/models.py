@@ -147,11 +147,19 @@ def ablation(spark, folder):
 
 @query("calibrations")
 def recalibrated(spark, folder):
-    return study.calibration_table(study.calibrations(_panel(spark, folder), BASE, c.logit))
+    """The selected model and three recalibrations of it."""
+    panel = _panel(spark, folder)
+    return study.calibration_table(study.calibrations(panel, BASE, FITS[study.headline_model(panel, BASE, FITS)]))
 
 
 def _locked(spark, folder, panel: DataFrame | None = None) -> study.LockedTest:
-    return study.LockedTest(_panel(spark, folder) if panel is None else panel, rare_labels(spark, folder), BASE, c.logit)
+    return study.LockedTest.of_best(_panel(spark, folder) if panel is None else panel, rare_labels(spark, folder), BASE, FITS)
+
+
+@query("validation_table")
+def validated(spark, folder):
+    """Persistence, climatology and the calibrated logit on the validation fold."""
+    return study.validation_table(_panel(spark, folder), rare_labels(spark, folder), BASE, c.calibrated_logit)
 
 
 @query("locked_test_report")
@@ -255,6 +263,18 @@ def bisecting(spark, folder):
     return clusters.rate_spread(found, "target")
 
 
+@query("cluster_table")
+def clusterings(spark, folder):
+    """Three clusterings of one projection: clusters, silhouette and spread of the positive rate."""
+    axes = ["pc1", "pc2", "pc3"]
+    methods = {
+        "kmeans": lambda rows: clusters.assign(rows, clusters.kmeans(rows, axes, 5), axes),
+        "bisecting": lambda rows: clusters.assign(rows, clusters.bisecting(rows, axes), axes),
+        "dbscan": lambda rows: dbscan(rows, axes, 0.5, 20),
+    }
+    return study.cluster_table(_projected(spark, folder), axes, methods)
+
+
 @query("dbscan")
 def density(spark, folder):
     rows = _projected(spark, folder)

@@ -220,3 +220,10 @@ def test_models_of_all_folds_together(spark, fit):
     df = spark.createDataFrame(pdf)
     auc = study.cross_validated_auc(df, ["x0", "x1"], fit, splits=3)
     assert 0.6 < auc < 1
+
+
+def test_averaged_logits_by_matrices_equal_joined_ones(rows):
+    rows = rows.withColumn("day", F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")))
+    model = c.calibrated_logit(rows, list("abcd"), "y", date="day").model
+    one, two = model.score(rows).select("id", "p").toPandas(), model._joined(rows).select("id", "p").toPandas()
+    np.testing.assert_allclose(one.sort_values("id").p, two.sort_values("id").p, atol=1e-12)

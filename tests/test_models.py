@@ -80,6 +80,28 @@ def test_locked_test(spark, panel):
     assert {r["model"] for r in study.calibration_table(scores).collect()} == {"raw", "platt", "isotonic", "conformal"}
 
 
+def test_headline_chain_and_validation_table(spark, panel):
+    labels = panel.select("date", (F.col("target") == 1).alias("any_environmental"))
+    fits = {"logit": c.logit, "forest": quick_forest}
+    assert study.headline_model(panel, FEATURES, fits) == "forest"
+    chain = study.LockedTest.of_best(panel, labels, FEATURES, fits)
+    assert chain.model.name == "forest" and chain.report().count() == 3
+    rows = {r["model"]: r for r in study.validation_table(panel, labels, FEATURES, quick_forest).collect()}
+    assert rows["climatology"]["tss"] == 0.0 and rows["persistence"]["roc_auc"] is None and rows["model"]["roc_auc"] > 0.8
+
+
+def test_cluster_table(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(k, 0.2, (60, 2)) for k in (0, 5)])
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b"]).assign(target=[0] * 60 + [1] * 60))
+    axes = ["a", "b"]
+    table = {r["method"]: r for r in study.cluster_table(df, axes, {
+        "kmeans": lambda rows: clusters.assign(rows, clusters.kmeans(rows, axes, 2, starts=2), axes), "dbscan": lambda rows: density.dbscan(rows, axes, 1.0, 5),
+        "one": lambda rows: rows.withColumn("cluster", F.lit(0))}).collect()}
+    assert all(table[m]["n_clusters"] == 2 and table[m]["pos_rate_spread"] == 1.0 and table[m]["silhouette"] > 0.9 for m in ("kmeans", "dbscan"))
+    assert table["one"]["n_clusters"] == 1 and table["one"]["silhouette"] is None
+
+
 def test_regressors(panel):
     rows = panel.withColumn("y", F.col("x0") * 3 + F.col("x1"))
     table = {r["model"]: r for r in study.regressor_table(rows, FEATURES, ransac_threshold=1.0).collect()}
@@ -202,7 +224,9 @@ def test_hypotheses(spark):
     assert [r["dof"] for r in rows] == [2]
 
 
-@pytest.mark.parametrize("fit", [c.logit, quick_forest])
+@pytest.mark.parametrize("fit", [
+    c.logit, quick_forest, c.calibrated_logit, lambda df, f, y: c.boosting(df, f, y, rounds=5), lambda df, f, y: c.kernel_machine(df, f, y, components=32),
+])
 def test_bundle_round_trip_and_scoring(spark, tmp_path, fit):
     hourly, labels = hours(spark)
     config = PanelConfig(drivers=("Bz_gsm", "Dst"), block_days=20)
