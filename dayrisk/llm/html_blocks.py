@@ -13,8 +13,8 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt s samp small span strike strong sub sup time tt u var wbr img br input".split())
-UNSEEN = frozenset("head script style noscript template iframe object svg math canvas audio video map select button datalist option".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt s samp small span strike strong sub sup time tt u var wbr img br input svg math button select label canvas object iframe mi mn mo ms mrow msup msub mfrac msqrt mtext semantics".split())
+UNSEEN = frozenset("head script style noscript template iframe object svg canvas audio video map select button datalist option annotation".split())
 #: An opening tag ends an open element of the first kind unless one of the second lies between.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
@@ -94,7 +94,7 @@ def blocks_of(page: str) -> list[Block]:
         if tag is None:  # comment, declaration or an element whose content is not markup
             continue
         tag = tag.lower()
-        block = tag not in INLINE
+        block = tag not in INLINE and not stack[-1].unseen
         if tag in ("br", "td", "th"):
             pieces.append(" ")
             block = False

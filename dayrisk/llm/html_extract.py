@@ -19,40 +19,71 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from dayrisk.llm.common import narrowed, with_arrow_columns
 from dayrisk.llm.html_blocks import Block, Element, blocks_of
 
-#: Pages and blocks that the classifier is trained on at most, chosen by hash; and costs in log-odds: what markup says, text at most, ties.
+#: Pages and blocks that the classifier is trained on at most, chosen by hash.
 SAMPLE_PAGES, SAMPLE_BLOCKS = 2_000, 100_000
-HINT, TEXT_MOST, FOLLOWS, NEAR = 6.0, 2.5, 1.0, 0.6
+#: Log-odds: of markup that says outright what is not the article, of article markup, of words that only may say something (whole, and as a part
+#: of a name), and of the text at most. All but the first are of one order, so that text and ties can outweigh them.
+OUTRIGHT, ARTICLE, MAYBE, PART, TEXT_MOST = 8.0, 2.6, 2.0, 1.5, 2.5
+#: Ties of blocks that follow each other, and of blocks with the same grandparent; less for blocks that are linked differently.
+FOLLOWS, NEAR = 2.0, 1.0
+#: What is left of a tie over the border of a box that says outright what it is.
+CROSS = 0.2
 ARTICLE_TAGS = frozenset("article main".split())
-OUTSIDE_TAGS = frozenset("nav footer aside menu dialog fieldset".split())
+OUTSIDE_TAGS = frozenset("nav footer aside menu dialog".split())
+MAYBE_TAGS = frozenset(("fieldset",))
 ARTICLE_WORDS = frozenset("article content main story post entry articlebody article-body article-content post-body post-content entry-content main-content story-body story-text post-text text prose blog-post maincontent page-content role=main role=article".split())
-#: Parts of class names and ids that mark what is not the article.
+#: Class names and ids of what is not the article, wherever it stands; and those that also name parts of an article, and count inside one as a hint only.
 OUTSIDE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice alert sidebar widget nav navbar"
-    " navigation menu breadcrumb breadcrumbs footer header masthead topbar related recommended share sharing social newsletter subscribe subscription popup modal"
-    " overlay login signup pagination pager toolbar skip copyright legal disclaimer tags role=navigation role=banner role=contentinfo role=complementary"
-    " role=search role=form role=dialog role=alert".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice alert sidebar nav navbar navigation"
+    " breadcrumb breadcrumbs masthead topbar newsletter subscribe subscription popup modal overlay pagination pager toolbar role=navigation role=banner"
+    " role=contentinfo role=complementary role=search role=form role=dialog role=alert".split()
 )
-#: Containers of comments by a part of a class name or id; by a whole one, where what lies inside says so too; and parts that only tell how a page is set.
+MAYBE_WORDS = frozenset("header footer banner menu widget related recommended share sharing social login signup skip copyright legal disclaimer tags".split())
+#: Containers of comments; by a whole name, where what lies inside says so too; parts that only tell how a page is set, and parts of names of boxes.
 COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond disqus".split())
 MAYBE_COMMENT_WORDS = frozenset("discussion responses".split())
 STATE_PARTS = frozenset("with has have no without is open opened closed enabled disabled allowed on off".split())
+BOX_PARTS = frozenset(
+    "box slot wrap wrapper container area section list block top bottom left right center layout site page main global inner outer bar unit column col body form post"
+    " thread item group panel holder region zone content primary secondary js row grid links link text title buttons button icons icon".split()
+)
 #: Article words that count inside what is marked as boilerplate, where most of the page's marked text lies in them.
 SURE_WORDS = frozenset("articlebody article-body article-content post-body post-content entry-content main-content story-body story-text post-text maincontent page-content role=main role=article".split())
 #: Shares of the page's text: a form that holds more is no mere form; a box that holds more is not boilerplate by its name alone.
 FORM_SHARE, MOST = 0.25, 0.5
 LAYOUT_TAGS = frozenset(("html", "body"))
+#: Levels of the document tree that are looked up for a common ancestor of two blocks.
+LEVELS = 12
 FEATURES = ["one", "log_length", "linked", "stops", "words", "capitals", "paragraph", "item"]
 #: Used where no page says outright what its article is.
 PLAIN = np.array([-1.0, 0.35, -4.0, 0.8, 0.02, -0.5, 0.6, -0.4])
 
 
-def _parts(words: frozenset) -> set[str]:
-    return set(words) | {p for w in words if "=" not in w for p in re.split(r"[-_:]+", w)}
+def _split(word: str) -> list[str]:
+    return [p for p in re.split(r"[-_:]+", word) if p]
+
+
+def named(words: frozenset, names: frozenset) -> bool:
+    """Whether a class name or id is one of ``names``, or made of one of them and of parts of names of boxes (``comments-area``, ``ad-slot-3``).
+
+    A state as ``with-sidebar`` or ``comments-open`` names nothing.
+    """
+    for word in words:
+        if word in names:
+            return True
+        parts = set(_split(word)) if "=" not in word else set()
+        if parts & names and not parts & STATE_PARTS and all(p in names or p in BOX_PARTS or p in MAYBE_WORDS or p in OUTSIDE_WORDS or p.isdigit() for p in parts):
+            return True
+    return False
 
 
-def _outer_parts(words: frozenset) -> set[str]:
-    """``_parts`` of the words that name a container, not a state as ``with-sidebar`` or ``comments-open``."""
-    return _parts(frozenset(w for w in words if not STATE_PARTS & set(re.split(r"[-_:]+", w))))
+def mentions(words: frozenset) -> bool:
+    """Whether a part of a name is a word for what is not the article, as in ``share-price``."""
+    for word in words:
+        parts = set(_split(word)) if "=" not in word else set()
+        if len(parts) > 1 and parts & (OUTSIDE_WORDS | MAYBE_WORDS | COMMENT_WORDS) and not parts & STATE_PARTS:
+            return True
+    return False
 
 
 def _is_article(element: Element) -> bool:
@@ -73,7 +104,7 @@ class Shares:
         for number in sorted(known):  # parents have smaller numbers
             x = known[number]
             article, comments = inside[x.parent.number] if x.parent is not None else (False, False)
-            comments = comments or bool(_outer_parts(x.words) & COMMENT_WORDS)
+            comments = comments or named(x.words, COMMENT_WORDS)
             inside[number] = ((article or _is_article(x)) and not comments, comments)
         self.text, self.marked = dict.fromkeys(known, 0), dict.fromkeys(known, 0)
         for block in blocks:
@@ -88,7 +119,7 @@ class Shares:
                 self.text[up] += self.text[number]
                 self.marked[up] += self.marked[number]
                 self.articles[up] += self.articles[number] + _is_article(x)
-                self.comments[up] += self.comments[number] + bool(_outer_parts(x.words) & COMMENT_WORDS)
+                self.comments[up] += self.comments[number] + named(x.words, COMMENT_WORDS)
         self.all, self.all_marked = self.text.get(0, 0), self.marked.get(0, 0)
 
     def share(self, x: Element) -> float:
@@ -103,7 +134,7 @@ class Shares:
 
     def is_comments(self, x: Element) -> bool:
         """Named as comments, and either there is an article elsewhere or nothing in it looks like one."""
-        if not (_outer_parts(x.words) & COMMENT_WORDS or (x.words & MAYBE_COMMENT_WORDS and self.comments[x.number])):
+        if not (named(x.words, COMMENT_WORDS) or (x.words & MAYBE_COMMENT_WORDS and self.comments[x.number])):
             return False
         if self.all_marked:
             return self.all_marked > self.marked[x.number]
@@ -111,11 +142,11 @@ class Shares:
 
 
 def hint(element: Element, memo: dict[int, float], shares: Shares) -> float:
-    """What the markup around a block says: above 0 article, below 0 not, 0 nothing.
+    """Log-odds that the markup around a block gives: above 0 article, below 0 not, 0 nothing.
 
     The innermost word counts, except that readers' comments and forms stay outside whatever they contain, and that a header
     inside an article belongs to it. A form or a box named as comments or boilerplate is not taken for one where the page's
-    article would go with it (see ``Shares``).
+    article would go with it (see ``Shares``). Words that also name parts of an article only lower the odds inside one.
     """
     chain, x = [], element
     while x is not None and x.number not in memo:
@@ -131,17 +162,25 @@ def _hint_below(above: float, element: Element, shares: Shares) -> float:
     if element.tag in LAYOUT_TAGS:
         return above
     if shares.is_comments(element) or shares.is_form(element):
-        return -2 * HINT
-    if above <= -2 * HINT:
+        return -2 * OUTRIGHT
+    if above <= -2 * OUTRIGHT:
         return above
     if element.tag in OUTSIDE_TAGS or (element.tag == "header" and above <= 0):
-        return -HINT
+        return -OUTRIGHT
     if element.tag in ARTICLE_TAGS:
-        return HINT
-    if _outer_parts(element.words) & OUTSIDE_WORDS and not (above > 0 and element.tag in ("header", "h1", "h2")) and not shares.most(element):
-        return -HINT
+        return ARTICLE
+    title = above > 0 and element.tag in ("header", "h1", "h2")
+    if element.words and not title and not shares.most(element):
+        if named(element.words, OUTSIDE_WORDS):
+            return -OUTRIGHT
+        if named(element.words, MAYBE_WORDS) or element.words & COMMENT_WORDS:
+            return -OUTRIGHT if above <= 0 else min(above, ARTICLE - MAYBE)
     if element.words & ARTICLE_WORDS and (above >= 0 or (element.words & SURE_WORDS and shares.marked[element.number] >= MOST * shares.all_marked > 0)):
-        return HINT
+        return ARTICLE
+    if element.tag in MAYBE_TAGS:
+        return min(above, ARTICLE - MAYBE) if above > 0 else above - MAYBE
+    if element.words and not title and mentions(element.words) and not shares.most(element):
+        return min(above, ARTICLE - PART) if above > 0 else min(above, -PART)
     return above
 
 
@@ -170,28 +209,40 @@ def train(rows: np.ndarray, article: np.ndarray) -> np.ndarray:
 
 
 def closeness(a: Element, b: Element) -> float:
-    """1 for blocks of one element or with one parent, less for each level further apart."""
-    path, x, up = {}, a, 0
-    while x is not None:
+    """1 for blocks of one element or with one parent, less for each level further apart; 0 without a common ancestor within LEVELS."""
+    path, x = {}, a
+    for up in range(LEVELS):
+        if x is None:
+            break
         path[x.number] = up
-        x, up = x.parent, up + 1
-    x, up = b, 0
-    while x.number not in path:
-        x, up = x.parent, up + 1
-    return 1.0 / (1.0 + max(0, up + path[x.number] - 2))
+        x = x.parent
+    x = b
+    for up in range(LEVELS):
+        if x is None:
+            break
+        if x.number in path:
+            return 1.0 / (1.0 + max(0, up + path[x.number] - 2))
+        x = x.parent
+    return 0.0
 
 
-def ties(blocks: list[Block]) -> list[tuple[int, int, float]]:
-    """Smoothness edges: each block to the next, and to the last one before it with the same grandparent."""
-    edges = [(i, i + 1, FOLLOWS * closeness(blocks[i].element, blocks[i + 1].element)) for i in range(len(blocks) - 1)]
+def ties(blocks: list[Block], hints: list[float]) -> list[tuple[int, int, float]]:
+    """Smoothness edges: each block to the next, and to the last one before it with the same grandparent.
+
+    Blocks that are linked alike are tied more; over the border of a box that is outright not the article little is left.
+    """
+    linked = [min(1.0, b.linked / max(1, len(b.text))) for b in blocks]
+    outright = [h <= -OUTRIGHT for h in hints]
+    tie = lambda a, b, w: (a, b, w * (1.0 - abs(linked[a] - linked[b])) * (1.0 if outright[a] == outright[b] else CROSS))
+    edges = [tie(i, i + 1, FOLLOWS * closeness(blocks[i].element, blocks[i + 1].element)) for i in range(len(blocks) - 1)]
     last: dict[int, int] = {}
     for i, block in enumerate(blocks):
         parent = block.element.parent or block.element
         before = last.get(parent.number)
         if before is not None and before != i - 1:
-            edges.append((before, i, NEAR))
+            edges.append(tie(before, i, NEAR))
         last[parent.number] = i
-    return edges
+    return [e for e in edges if e[2] > 0]
 
 
 def minimum_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -227,44 +278,60 @@ def minimum_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[
 
 
 def source_side(nodes: list[int], gain: list[float], near: list[dict[int, float]]) -> list[int]:
-    """Nodes that the source still reaches after a maximum flow along shortest augmenting paths."""
-    source, sink = -1, -2
-    room: dict[int, dict[int, float]] = {source: {}, sink: {}, **{i: dict(near[i]) for i in nodes}}
-    for i in nodes:
-        if gain[i] > 0:
-            room[source][i], room[i][source] = gain[i], 0.0
-        else:
-            room[i][sink], room[sink][i] = -gain[i], 0.0
-    while True:
-        came: dict[int, int] = {source: source}
-        queue = deque([source])
-        while queue and sink not in came:
-            a = queue.popleft()
-            for b, r in room[a].items():
-                if r > 1e-9 and b not in came:
-                    came[b] = a
-                    queue.append(b)
-        if sink not in came:
-            return [i for i in came if i >= 0]
-        path, b = [], sink
-        while b != source:
-            path.append((came[b], b))
-            b = came[b]
-        flow = min(room[a][b] for a, b in path)
-        for a, b in path:
-            room[a][b] -= flow
-            room[b][a] = room[b].get(a, 0.0) + flow
+    """Nodes that the source still reaches after a maximum flow.
 
-
-def main_blocks(blocks: list[Block], weights: np.ndarray) -> list[str]:
-    """Texts of the blocks on the article's side of the cut."""
+    Each node with something left to give looks for the nearest node that takes it. What a search without success has seen can
+    give nothing to the sink any more: it is the source's, and no later search enters it. So a search stays near its node.
+    """
+    room = {i: dict(near[i]) for i in nodes}
+    take = {i: max(0.0, -gain[i]) for i in nodes}
+    owned: set[int] = set()
+    for start in nodes:
+        left = gain[start]
+        while left > 1e-9 and start not in owned:
+            came, queue, end = {start: start}, deque([start]), None
+            while queue:
+                a = queue.popleft()
+                if take[a] > 1e-9:
+                    end = a
+                    break
+                for b, r in room[a].items():
+                    if r > 1e-9 and b not in came and b not in owned:
+                        came[b] = a
+                        queue.append(b)
+            if end is None:
+                owned.update(came)
+                break
+            flow, b = min(left, take[end]), end
+            while b != start:
+                flow = min(flow, room[came[b]][b])
+                b = came[b]
+            left -= flow
+            take[end] -= flow
+            b = end
+            while b != start:
+                a = came[b]
+                room[a][b] -= flow
+                room[b][a] = room[b].get(a, 0.0) + flow
+                b = a
+    return list(owned)
+
+
+def labels(blocks: list[Block], weights: np.ndarray) -> tuple[list[float], list[bool]]:
+    """For each block its log-odds, of text and markup, and its side of the page's minimum cut: the article's or not."""
     if not blocks:
-        return []
+        return [], []
     memo: dict[int, float] = {}
     shares = Shares(blocks)
     text = np.clip(np.array([shape(b) for b in blocks]) @ weights, -TEXT_MOST, TEXT_MOST)
-    gain = [hint(b.element, memo, shares) + float(t) for b, t in zip(blocks, text)]
-    return [b.text for b, article in zip(blocks, minimum_cut(gain, ties(blocks))) if article]
+    hints = [hint(b.element, memo, shares) for b in blocks]
+    gain = [h + float(t) for h, t in zip(hints, text)]
+    return gain, minimum_cut(gain, ties(blocks, hints))
+
+
+def main_blocks(blocks: list[Block], weights: np.ndarray) -> list[str]:
+    """Texts of the blocks on the article's side of the cut."""
+    return [b.text for b, article in zip(blocks, labels(blocks, weights)[1]) if article]
 
 
 def learn_weights(pages: DataFrame, bound: int = SAMPLE_PAGES, most: int = SAMPLE_BLOCKS) -> np.ndarray:
@@ -280,7 +347,7 @@ def learn_weights(pages: DataFrame, bound: int = SAMPLE_PAGES, most: int = SAMPL
                 memo: dict[int, float] = {}
                 blocks = blocks_of(page)
                 shares = Shares(blocks)
-                found += [[*shape(b), float(h > 0)] for b in blocks if (h := hint(b.element, memo, shares))]
+                found += [[*shape(b), float(h > 0)] for b in blocks if abs(h := hint(b.element, memo, shares)) >= ARTICLE]
             yield pd.DataFrame(found, columns=[*FEATURES, "article"], dtype=float)
 
     shapes = sample.mapInPandas(run, ", ".join(f"{c} double" for c in [*FEATURES, "article"]))

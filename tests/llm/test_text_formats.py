@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 import struct
 from collections import Counter
 
@@ -151,6 +152,64 @@ def test_what_is_no_article_stays_outside(box):
     assert text.count("Paragraph") == 6 and "reader, and" not in text
 
 
+@pytest.mark.parametrize(
+    "opening, closing",
+    [(f"<div {a}>", "</div>") for a in (
+        "class='legal-analysis'", "class='share-price'", "class='social-policy'", "class='reply-rates'", "class='header'", "id='related-work'", "id='copyright-law'", "class='login'",
+        "class='respond-to-crisis'", "class='notice-period'")] + [("<fieldset>", "</fieldset>")],
+)
+def test_words_that_may_name_a_part_of_an_article_do_not_drop_it(opening, closing):
+    inner = "<p>This part of the text has a name of its own, and the reader wants it, whatever the box is called.</p>"
+    text = "\n".join(html_extract.main_blocks(blocks_of(f"{MENU}<article>{BODY}{opening}{inner}{closing}{BODY}</article>"), html_extract.PLAIN))
+    assert text.count("Paragraph") == 12 and "whatever the box" in text and "One" not in text
+
+
+@pytest.mark.parametrize("inside", ["<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "<svg><path d='M0 0'/></svg>", "<button>Copy</button>"])
+def test_elements_within_a_line_do_not_split_it(inside):
+    texts = [b.text for b in blocks_of(f"<article><p>Before it {inside} and after it.</p></article>")]
+    assert len(texts) == 1 and texts[0].startswith("Before it") and texts[0].endswith("and after it.") and ("x=2" in texts[0]) == ("math" in inside)
+
+
+def moved(page):
+    """Texts whose label the cut changed, with the label that they got."""
+    blocks = blocks_of(page)
+    gain, side = html_extract.labels(blocks, html_extract.PLAIN)
+    return [(b.text, s) for b, g, s in zip(blocks, gain, side) if (g > 0) != s]
+
+
+def test_the_cut_makes_up_for_a_missing_and_for_a_wrong_hint():
+    long = "<p>The council met on Monday, as it does each week, and it talked about the road, the school and the bridge for hours.</p>"
+    bare = f"<div><div>{MENU}</div><div>{long * 3}<p>Of</p>{long * 3}</div></div>"  # no word says where the article is
+    assert ("Of", True) in moved(bare)
+    text = html_extract.main_blocks(blocks_of(bare), html_extract.PLAIN)
+    assert len(text) == 7 and "One" not in text
+    wrong = f"<article>{long * 3}<div class=banner>Yes</div>{long * 3}</article>"  # a title that is called a banner
+    assert ("Yes", True) in moved(wrong) and len(html_extract.main_blocks(blocks_of(wrong), html_extract.PLAIN)) == 7
+    stray = f"<div>{MENU}<div>{''.join(f'<div><a href=x>{w}</a></div>' for w in 'abc')}<div>Mail us, call us, or write</div>{''.join(f'<div><a href=x>{w}</a></div>' for w in 'def')}</div></div>"
+    assert html_extract.main_blocks(blocks_of(stray), html_extract.PLAIN) in ([], ["Mail us, call us, or write"])
+
+
+def test_share_of_labels_that_the_cut_moves():
+    draw = np.random.default_rng(3)
+    long = "<p>The council met on Monday, as it does each week, and it talked about the road, the school and the bridge for hours.</p>"
+    pages = ["<div>" + MENU + "<div>" + "".join(long if draw.random() < 0.7 else "<p>Of</p>" for _ in range(30)) + "</div></div>" for _ in range(20)]
+    blocks = sum(len(blocks_of(p)) for p in pages)
+    changed = [x for p in pages for x in moved(p)]
+    assert 0.1 < len(changed) / blocks < 0.4 and all(s for _, s in changed)
+
+
+def test_long_pages_take_little_time():
+    draw = np.random.default_rng(5)
+    n = 20_000
+    gain = draw.normal(0, 1.5, n).tolist()
+    edges = [(i, i + 1, 2.0) for i in range(n - 1)] + [(i, i + 3, 1.0) for i in range(0, n - 3, 2)]
+    start = time.process_time()
+    html_extract.minimum_cut(gain, edges)
+    deep = blocks_of("<div>" * 4000 + "".join(f"<p>line {i}</p>" for i in range(300)) + "</div>" * 4000)
+    html_extract.main_blocks(deep, html_extract.PLAIN)
+    assert time.process_time() - start < 6
+
+
 def test_extraction_takes_any_page(spark):
     pages = [PAGE, None, "", "no markup at all, just one longer sentence, with commas.", "<p>open <b>x", "<" * 2000, "<a title='" + "x" * 5000, "<div>" * 3000 + "deep", PAGE]
     table = spark.createDataFrame([(i, f"http://h/{i}", p, "t") for i, p in enumerate(pages)], "page_id long, url string, html string, text string")
