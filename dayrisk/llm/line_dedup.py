@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 RATIO = 0.3
-LEAST_PAGES = 5
-#: Parts that the pages of each host are dealt into for the join with its lines, so that a large host is no single partition.
-SALTS = 64
+#: Pages that carry a line at least, however small the host is: a line on two pages may be a copy.
+LEAST_CARRIERS = 3
+#: A host with more than this part of all pages is dealt into as many parts as it has such shares: at most so many hosts are large.
+SHARES = 4096
 #: Elements without visible text, block elements that break lines, and references that are decoded.
 HIDDEN = r"(?is)<!--.*?-->|<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 BREAKS = r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|hr|tr|table|section|article|header|footer|nav|aside|main|form|blockquote|pre|dd|dt|dl|figure|figcaption)\b[^>]*>"
@@ -29,35 +30,46 @@ def visible_lines(html: Column) -> Column:
     return F.filter(lines, lambda x: x != "")
 
 
-def site_lines(pages: DataFrame, host: str = "host", lines: str = "lines", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """``(host, boilerplate)``: for each host with ``least_pages`` pages or more, the lines on more than ``ratio`` of them.
+def site_lines(pages: DataFrame, host: str = "host", lines: str = "lines", ratio: float = RATIO, least_carriers: int = LEAST_CARRIERS) -> DataFrame:
+    """``(host, boilerplate)``: for each host the lines on more than ``ratio`` of its pages and on ``least_carriers`` pages at least.
 
     Lines are counted once a page and partly before the shuffle, so a line on every page of a large host is no hot key. A host
     has at most (mean distinct lines of its pages) / ratio such lines.
     """
     known = pages.where(F.col(host).isNotNull())
-    totals = known.groupBy(host).agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least_pages)
+    totals = known.groupBy(host).agg(F.count(F.lit(1)).alias("pages"))
     seen = (
         known.select(host, F.explode(F.array_distinct(lines)).alias("line"))
         .groupBy(host, "line")
         .agg(F.count(F.lit(1)).alias("seen"))
-        .where(F.col("seen") > ratio * least_pages)  # fewer cannot exceed the ratio on any host that counts
+        .where(F.col("seen") >= least_carriers)
     )
     often = seen.join(totals, host).where(F.col("seen") > ratio * F.col("pages"))
     return often.groupBy(host).agg(F.collect_set("line").alias("boilerplate"))
 
 
-def drop_site_lines(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def large_hosts(hosts: DataFrame, shares: int = SHARES) -> DataFrame:
+    """``(host, parts)`` of the hosts with more than one of ``shares`` shares of all rows, at most ``shares`` rows."""
+    totals = hosts.where("host IS NOT NULL").groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    share = F.greatest(F.lit(1.0), F.lit((hosts.count() or 1) / shares))
+    return totals.where(F.col("pages") > share).select("host", F.ceil(F.col("pages") / share).cast("int").alias("parts"))
+
+
+def drop_site_lines(pages: DataFrame, ratio: float = RATIO, least_carriers: int = LEAST_CARRIERS, shares: int = SHARES) -> DataFrame:
     """``(page_id, url, host, n_lines, n_dropped, text)``: every page without the boilerplate lines of its host.
 
-    Every occurrence of such a line goes. Null html has no lines; a page without a host, or of a host with fewer than
-    ``least_pages`` pages, stays whole; repeated rows count as pages of their own. Other columns are not looked at.
+    Every occurrence of such a line goes. Null html has no lines; a page without a host stays whole, as does one of a host with fewer
+    than ``least_carriers`` pages; repeated rows count as pages of their own. Other columns are not looked at.
     """
-    lined = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), visible_lines(F.col("html")).alias("lines"))
-    part = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
-    # a host's list is short, so a copy for each part costs little beside the pages
-    site = site_lines(lined, ratio=ratio, least_pages=least_pages).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = lined.withColumn("part", part).join(site, ["host", "part"], "left")
+    hosted = host_of(F.col("url")).alias("host")
+    lined = pages.select("page_id", "url", hosted, visible_lines(F.col("html")).alias("lines"))
+    large = F.broadcast(large_hosts(pages.select(hosted), shares))  # at most ``shares`` rows
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = lined.join(large, "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), parts).cast("int")).drop("parts")
+    # only a large host's list is copied, once for each of its parts
+    site = site_lines(lined, ratio=ratio, least_carriers=least_carriers).join(large, "host", "left")
+    site = site.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    joined = dealt.join(site, ["host", "part"], "left")
     bad = F.coalesce("boilerplate", F.array().cast("array<string>"))
     kept = F.filter("lines", lambda x: ~F.array_contains(bad, x))
     return joined.select(

@@ -80,9 +80,9 @@ def _lines_sql() -> str:
 
 SQL["op6_line_dedup"] = f"""
 WITH p AS (SELECT page_id, url, nullif(lower(regexp_extract(url, {_sql(line_dedup.HOST)}, 1)), '') AS host, {_lines_sql()} AS lines FROM pages),
-totals AS (SELECT host, count(*) AS pages FROM p WHERE host IS NOT NULL GROUP BY host HAVING count(*) >= {line_dedup.LEAST_PAGES}),
+totals AS (SELECT host, count(*) AS pages FROM p WHERE host IS NOT NULL GROUP BY host),
 seen AS (SELECT host, line, count(*) AS seen FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM p WHERE host IS NOT NULL) GROUP BY host, line),
-bad AS (SELECT host, list(line) AS boilerplate FROM seen JOIN totals USING (host) WHERE seen > {line_dedup.RATIO} * pages GROUP BY host),
+bad AS (SELECT host, list(line) AS boilerplate FROM seen JOIN totals USING (host) WHERE seen > {line_dedup.RATIO} * pages AND seen >= {line_dedup.LEAST_CARRIERS} GROUP BY host),
 kept AS (SELECT page_id, url, p.host, lines, [x for x in lines if NOT list_contains(coalesce(boilerplate, []), x)] AS stay FROM p LEFT JOIN bad ON p.host = bad.host)
 SELECT page_id, url, host, len(lines) AS n_lines, len(lines) - len(stay) AS n_dropped, array_to_string(stay, chr(10)) AS text FROM kept
 """

@@ -243,3 +243,18 @@ def test_lines_of_many_pages_of_a_host_go(spark):
             assert r.n_dropped == 0 and r.text == ("" if r.page_id == 11 else "menu")
     assert line_dedup.drop_site_lines(table.limit(0)).count() == 0
     assert Counter(r.host for r in rows)["big.example"] == 10 and np.isfinite(line_dedup.RATIO)
+
+
+@pytest.mark.parametrize("shares", [1, 3, 4096])
+def test_small_hosts_and_a_host_with_most_pages(spark, shares):
+    pages = [(i, f"http://hot.example/{i}", f"<p>menu</p><p>text {i}</p>" + "<p>often</p>" * (i % 5 == 0)) for i in range(200)]
+    pages += [(1000 + 10 * h + i, f"http://s{h}.example/{i}", f"<p>menu {h}</p><p>own {i}</p>") for h in range(40) for i in range(h % 5 + 1)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = line_dedup.drop_site_lines(table, shares=shares).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        if r.page_id < 1000:
+            assert r.text == f"text {r.page_id}" + "\noften" * (r.page_id % 5 == 0)  # on a fifth of the pages only
+        else:
+            assert (r.n_dropped == 1) == ((r.page_id - 1000) // 10 % 5 + 1 >= 3)
+    assert line_dedup.large_hosts(table.select(line_dedup.host_of(table["url"]).alias("host")), shares).count() <= shares
