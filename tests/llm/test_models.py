@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,7 +110,54 @@ def test_language_of_held_out_documents(spark):
 
 
 def test_backoff_takes_the_longest_known_ngrams():
-    rows = {0: {"word": 0}, 5: {}, 4: {}, 3: {"<wo": 0}, 2: {}, 1: {"<": 0}}
-    logs = {0: np.array([[1.0]]), 3: np.array([[2.0]]), 1: np.array([[3.0]]), 5: np.zeros((0, 1)), 4: np.zeros((0, 1)), 2: np.zeros((0, 1))}
-    model = language_id.LanguageModel(["xx"], rows, logs)
+    entry = lambda names, value: language_id.Entries({n: i for i, n in enumerate(names)}, np.arange(len(names) + 1), np.zeros(len(names), int), np.full(len(names), value), np.zeros(1))
+    model = language_id.LanguageModel(["xx"], {0: entry(["word"], 1.0), 5: entry([], 0), 4: entry([], 0), 3: entry(["<wo"], 2.0), 2: entry([], 0), 1: entry(["<"], 3.0)})
     assert [model.word(w)[0] for w in ("word", "worm", "zebra")] == pytest.approx([1.0, 2.0, 3.0])
+
+
+def test_languages_are_told_as_by_the_sum_of_their_words(spark):
+    draw = np.random.default_rng(2)
+    texts, langs = [], []
+    for i in range(240):
+        lang = list(LANGS)[i % 3]
+        texts.append(" ".join(draw.choice(LANGS[lang].split(), 12)) + (" zzqy 12" if i % 4 == 0 else ""))
+        langs.append(lang)
+    docs = documents(spark, texts, langs)
+    model = language_id.LanguageModel.learn(docs, F.lit(True))
+    asked = texts[:60] + ["", "x", "1 2", "hausfluss zebra", "é"]
+    names, scores = model.predictor()(pa.array(asked, pa.large_string()))
+    for text, name, score in zip(asked, names, scores):
+        words = [w for w in re.findall(r"[^\W\d_]+", text.lower())]
+        if not words:
+            assert (name, score) == ("und", 0.0)
+            continue
+        total = sum((model.word(w) for w in words), np.zeros(3))
+        odds = np.exp(total - total.max())
+        assert name == model.languages[int(odds.argmax())] and score == pytest.approx(odds.max() / odds.sum(), rel=1e-4)
+
+
+def test_three_hundred_languages_and_a_script_of_many_characters(spark):
+    draw = np.random.default_rng(3)
+    own = {f"l{k:03}": ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(12)] for k in range(300)}
+    signs = [chr(0x4E00 + i) for i in range(3000)]
+    texts, langs = [], []
+    for lang, words in own.items():
+        for _ in range(4):
+            texts.append(" ".join(draw.choice(words, 20)))
+            langs.append(lang)
+    for _ in range(60):
+        texts.append(" ".join("".join(draw.choice(signs, 6)) for _ in range(60)))
+        langs.append("signs")
+    model = language_id.LanguageModel.learn(documents(spark, texts, langs), F.lit(True))
+    assert len(model.languages) == 301 and sum(s in model.entries[1].rows for s in signs) > 2900
+    names, _ = model.predictor()(pa.array([" ".join(words) for words in own.values()] + ["".join(draw.choice(signs, 5)) for _ in range(20)], pa.large_string()))
+    assert names == [*own, *["signs"] * 20]
+
+
+def test_repeated_ids_long_texts_and_clashing_columns(spark):
+    long = "haus fluss " * 20_000
+    rows = [(1, long, "de", "s", 1), (1, long, "de", "s", 1), (None, "house river", "en", "s", 1), (2, "house river", "en", "s", 1), (3, None, None, None, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({c: F.lit("x") for c in ("entry", "kind", "lang_pred", "score", "n")})
+    got = language_id.identify_documents(docs).collect()
+    assert len(got) == 15 and {r.lang_pred for r in got if r.doc_id == 3} == {"und"} and all(0 <= r.score <= 1 for r in got)
+
