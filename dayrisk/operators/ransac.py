@@ -3,16 +3,73 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F
 
 from dayrisk.constants import SEED
 from dayrisk.operators.linear import LinearFit, fit_ols
 
 
+#: Draws order the rows by ((key mod P) * a + b) mod P, with a and b of the trial's own: products stay below 2 ** 62.
+P = 2_147_483_647
+#: Candidates of one trial from so many groups of partitions are brought together last.
+GROUPS = 64
+
+
+def trial_order(trials: int, seed: int) -> list[tuple[int, int]]:
+    """``(a, b)`` of every trial."""
+    draw = random.Random(seed)
+    return [(draw.randrange(1, P), draw.randrange(P)) for _ in range(trials)]
+
+
+def draw_rows(df: DataFrame, key: str, values: Sequence[str], m: int, trials: int, seed: int) -> DataFrame:
+    """``(trial, key, values...)``: for every trial the ``m`` rows that its order puts first, ties by the key and the values.
+
+    One pass over the rows: a partition keeps ``m`` candidates for each trial, and candidates are cut to ``m`` again wherever they meet, so
+    no pool is drawn and no task sees more than its share.
+    """
+    order, names = np.array(trial_order(trials, seed), np.int64), list(values)
+    kind = df.select(*names).dtypes
+    schema = "trial int, grp int, place long, k long, " + ", ".join(f"`{n}` {t}" for n, t in kind)
+    columns = ["trial", "grp", "place", "k", *names]
+
+    def first(rows: pd.DataFrame, place: np.ndarray) -> np.ndarray:
+        if len(place) > m:
+            near = np.flatnonzero(place <= np.partition(place, m - 1)[m - 1])
+        else:
+            near = np.arange(len(place))
+        ties = [rows[n].to_numpy()[near] for n in ["k", *names]]
+        return near[np.lexsort((*reversed(ties), place[near]))][:m]
+
+    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group = TaskContext.get().partitionId() % GROUPS
+        kept: list[pd.DataFrame | None] = [None] * trials
+        for batch in batches:
+            at = np.mod(batch["k"].to_numpy(np.int64), P)
+            for t, (a, b) in enumerate(order):
+                place = (at * a + b) % P
+                own = first(batch, place)
+                new = batch.iloc[own].assign(place=place[own])
+                if kept[t] is not None:
+                    new = pd.concat([kept[t], new], ignore_index=True)
+                    new = new.iloc[first(new, new["place"].to_numpy())]
+                kept[t] = new
+        for t, rows in enumerate(kept):
+            if rows is not None:
+                yield rows.assign(trial=np.int32(t), grp=np.int32(group))[columns]
+
+    def cut(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.iloc[first(rows, rows["place"].to_numpy())][columns]
+
+    keyed = df.select(F.col(key).cast("long").alias("k"), *names).where("k IS NOT NULL")
+    found = keyed.mapInPandas(candidates, schema).groupBy("trial", "grp").applyInPandas(cut, schema).groupBy("trial").applyInPandas(cut, schema)
+    return found.select("trial", F.col("k").alias(key), *names)
+
+
 def fit_ransac(
     df: DataFrame,
     features: Sequence[str],
@@ -25,34 +82,23 @@ def fit_ransac(
 ) -> LinearFit:
     """Least squares on the largest consensus set.
 
-    A pool of at most ``trials * min_samples`` rows is drawn by hash and every trial fits on its own
-    draw from the pool, one group per trial. One distributed pass then counts the inliers of all
-    trials over all rows, and the inliers of the best trial (smaller error on ties) give the final fit.
+    Every trial fits on its own draw of ``min_samples`` rows (see :func:`draw_rows`; ``key`` is a whole number). One distributed pass then
+    counts the inliers of all trials over all rows, and the inliers of the best trial (smaller error on ties) give the final fit.
     """
     features = list(features)
     m = min_samples or max(50, len(features) + 1)
     rows = df.select(key, *features, y).dropna()
-    drawn = rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(trials * m)
-    # the pool has at most trials * min_samples rows, whatever the size of the table
-    order = Window.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
-    pool = drawn.withColumn("_slot", F.row_number().over(order) - 1).select("_slot", *features, y).persist()
-    try:
-        size = pool.count()
-        if size < m:
-            raise ValueError(f"{size} rows, a trial needs {m}")
-        draw = random.Random(seed)
-        slots = [(t, s) for t in range(trials) for s in draw.sample(range(size), m)]
-        draws = df.sparkSession.createDataFrame(slots, "trial int, _slot int")
-
-        def fit(trial: pd.DataFrame) -> pd.DataFrame:
-            x = np.column_stack([np.ones(len(trial)), trial[features].to_numpy(dtype=float)])
-            weights = np.linalg.lstsq(x, trial[y].to_numpy(dtype=float), rcond=None)[0]
-            return pd.DataFrame({"trial": [trial["trial"].iloc[0]], "weights": [weights.tolist()]})
-
-        fits = draws.join(pool, "_slot").groupBy("trial").applyInPandas(fit, "trial int, weights array<double>")
-        models = [r["weights"] for r in fits.orderBy("trial").collect()]  # one short row per trial
-    finally:
-        pool.unpersist()
+
+    def fit(trial: pd.DataFrame) -> pd.DataFrame:
+        x = np.column_stack([np.ones(len(trial)), trial[features].to_numpy(dtype=float)])
+        weights = np.linalg.lstsq(x, trial[y].to_numpy(dtype=float), rcond=None)[0]
+        return pd.DataFrame({"trial": [trial["trial"].iloc[0]], "n": [len(trial)], "weights": [weights.tolist()]})
+
+    fits = draw_rows(rows, key, [*features, y], m, trials, seed).groupBy("trial").applyInPandas(fit, "trial int, n int, weights array<double>")
+    found = fits.orderBy("trial").collect()  # one short row per trial
+    if not found or found[0]["n"] < m:
+        raise ValueError(f"{found[0]['n'] if found else 0} rows, a trial needs {m}")
+    models = [r["weights"] for r in found]
     best = models[_best_trial(rows, features, y, np.array(models), threshold)]
     chosen = LinearFit(tuple(features), tuple(best[1:]), best[0])
     return fit_ols(rows.where(F.abs(F.col(y) - chosen.score()) <= F.lit(threshold)), features, y)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from dayrisk.constants import SEED
 from dayrisk.operators import classifiers as c
 from dayrisk.operators.calibration import platt_fit, platt_predict
 from dayrisk.operators.density import dbscan
 from dayrisk.operators.isotonic import IsotonicCurve
 from dayrisk.operators.linear import LinearFit, fit_logit, fit_logits
+from dayrisk.operators.ransac import P, draw_rows, fit_ransac, trial_order
 from dayrisk.operators.significance import chi_square_independence
 from dayrisk.plans.hypotheses import events_with_phase, next_day_odds, phase_by_class
 from dayrisk.plans.panel import FittedPanel, daily_features
@@ -122,6 +124,49 @@ def odds(spark, folder):
     return rounded(next_day_odds(long_drivers(spark, folder), labels), 6)
 
 
+# --- random consensus -----------------------------------------------------------------------------
+TRIALS, DRAWN, WITHIN = 200, 50, 20.0
+_ORDER = ", ".join(f"({t}, {a}::BIGINT, {b}::BIGINT)" for t, (a, b) in enumerate(trial_order(TRIALS, SEED)))
+_ITEMS = """items AS (SELECT l_orderkey * 8 + l_linenumber AS key, CAST(l_quantity AS DOUBLE) AS x1, CAST(l_discount AS DOUBLE) AS x2, l_extendedprice / 1000.0 AS y FROM lineitem)"""
+_DRAWS = f"""{_ITEMS}, drawing(trial, a, b) AS (VALUES {_ORDER}),
+  draws AS (SELECT trial, key, x1, x2, y FROM (SELECT *, row_number() OVER (PARTITION BY trial ORDER BY (key % {P} * a + b) % {P}, key, x1, x2, y) AS place FROM items, drawing) WHERE place <= {DRAWN})"""
+
+
+def _least_squares(source: str, by: str = "") -> str:
+    """Intercept and two slopes by the normal equations."""
+    head = f"{by}, " if by else ""
+    gram = [["n", "s1", "s2"], ["s1", "s11", "s12"], ["s2", "s12", "s22"]]
+    det = lambda c: "(" + " + ".join(f"{c[0][i]} * ({c[1][(i + 1) % 3]} * {c[2][(i + 2) % 3]} - {c[1][(i + 2) % 3]} * {c[2][(i + 1) % 3]})" for i in range(3)) + ")"
+    solved = ", ".join(f"{det([['sy', 's1y', 's2y'] if j == k else gram[j] for j in range(3)])} / {det(gram)} AS b{k}" for k in range(3))
+    return f"""(SELECT {head}{solved} FROM (SELECT {head}CAST(count(*) AS DOUBLE) AS n, sum(x1) AS s1, sum(x2) AS s2, sum(x1 * x1) AS s11, sum(x1 * x2) AS s12, sum(x2 * x2) AS s22,
+      sum(y) AS sy, sum(x1 * y) AS s1y, sum(x2 * y) AS s2y FROM {source} {f'GROUP BY {by}' if by else ''}))"""
+
+
+def _items(spark, folder):
+    return table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("key"), F.col("l_quantity").cast("double").alias("x1"), F.col("l_discount").cast("double").alias("x2"),
+        (F.col("l_extendedprice") / 1000.0).alias("y"))
+
+
+@query("ransac_draws", rounded_sql("FROM draws", "x1 x2 y", "trial key", ctes=_DRAWS))
+def draws(spark, folder):
+    """The rows that each of 200 trials fits on."""
+    return rounded(draw_rows(_items(spark, folder), "key", ["x1", "x2", "y"], DRAWN, TRIALS, SEED))
+
+
+@query(
+    "ransac",
+    rounded_sql(f"FROM {_least_squares('inside')}", "x1 x2 intercept", digits=5, ctes=f"""{_DRAWS}, fits AS (SELECT * FROM {_least_squares('draws', 'trial')}),
+      judged AS (SELECT trial, b0, b1, b2, count(*) AS inliers, sum(e * e) AS squares FROM (SELECT *, abs(y - (b0 + b1 * x1 + b2 * x2)) AS e FROM items, fits) WHERE e <= {WITHIN} GROUP BY ALL),
+      best AS (SELECT * FROM judged ORDER BY inliers DESC, squares, trial LIMIT 1),
+      inside AS (SELECT items.* FROM items, best WHERE abs(y - (b0 + b1 * x1 + b2 * x2)) <= {WITHIN})""").replace("CAST(x1 AS", "CAST(b1 AS").replace(
+        "CAST(x2 AS DOUBLE), 5)", "CAST(b2 AS DOUBLE), 5)").replace("CAST(intercept AS", "CAST(b0 AS"),
+)
+def ransac(spark, folder):
+    fit = fit_ransac(_items(spark, folder), ["x1", "x2"], "key", threshold=WITHIN, trials=TRIALS)
+    return rounded(spark.createDataFrame([(*fit.weights, fit.intercept)], "x1 double, x2 double, intercept double"), 5)
+
+
 # --- chi-square tests with their tails ------------------------------------------------------------
 _TAIL = "exp(-chi2 / 2) * list_sum(list_transform(range(dof // 2), lambda k: power(chi2 / 2, k) / gamma(k + 1)))"  # an even number of degrees of freedom
 

@@ -11,7 +11,6 @@ from dayrisk.operators.density import dbscan
 from dayrisk.operators.labels import daily_event_counts, fold_column
 from dayrisk.operators.linear import fit_elastic_net, fit_lasso, fit_ols, fit_ridge
 from dayrisk.operators.metrics import evaluate
-from dayrisk.operators.ransac import fit_ransac
 from dayrisk.plans import study
 from dayrisk.plans.baselines import climatology, persistence
 from dayrisk.plans.hypotheses import events_with_phase, regimes_beyond_index
@@ -98,15 +97,6 @@ def regressors(spark, folder):
         panel.unpersist()
 
 
-@query("ransac")
-def ransac(spark, folder):
-    items = table(spark, folder, "lineitem").select(
-        F.xxhash64("l_orderkey", "l_linenumber").alias("key"), F.col("l_quantity").alias("x1"), F.col("l_discount").alias("x2"),
-        (F.col("l_extendedprice") / 1000.0).alias("y"))
-    fit = fit_ransac(items, ["x1", "x2"], "key", threshold=20.0)
-    return spark.createDataFrame([(*fit.weights, fit.intercept)], "x1 double, x2 double, intercept double")
-
-
 @query("forest")
 def random_forest(spark, folder):
     return _validated(spark, folder, "forest")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dayrisk.operators import classifiers as c
-from dayrisk.operators import isotonic, many_fits, trees
+from dayrisk.operators import isotonic, many_fits, ransac, trees
 from dayrisk.operators.linear import fit_logits
 from dayrisk.operators.significance import chi_square_independence, chi_square_tail, chi_square_tails
 from dayrisk.plans import study
@@ -227,3 +227,13 @@ def test_averaged_logits_by_matrices_equal_joined_ones(rows):
     model = c.calibrated_logit(rows, list("abcd"), "y", date="day").model
     one, two = model.score(rows).select("id", "p").toPandas(), model._joined(rows).select("id", "p").toPandas()
     np.testing.assert_allclose(one.sort_values("id").p, two.sort_values("id").p, atol=1e-12)
+
+
+def test_draws_are_the_first_rows_of_every_trials_order(spark):
+    keys = [int(k) for k in np.random.default_rng(3).integers(-(2**62), 2**62, 500)] + [5, 5, 5, 9]
+    df = spark.createDataFrame([(k, float(i)) for i, k in enumerate(keys)], "key long, v double").repartition(7)
+    got = ransac.draw_rows(df, "key", ["v"], 12, 30, 4).toPandas()
+    for t, (a, b) in enumerate(ransac.trial_order(30, 4)):
+        want = sorted(keys, key=lambda k: ((k % ransac.P * a + b) % ransac.P, k))[:12]
+        assert sorted(got[got.trial == t].key) == sorted(want)
+    assert ransac.draw_rows(df.where("key = 9"), "key", ["v"], 12, 2, 4).count() == 2
