@@ -11,6 +11,7 @@ from dayrisk.operators.density import dbscan
 from dayrisk.operators.labels import daily_event_counts, fold_column
 from dayrisk.operators.linear import fit_elastic_net, fit_lasso, fit_ols, fit_ridge
 from dayrisk.operators.metrics import evaluate
+from dayrisk.operators.ward import ward_clusters
 from dayrisk.plans import study
 from dayrisk.plans.baselines import climatology, persistence
 from dayrisk.plans.hypotheses import events_with_phase, regimes_beyond_index
@@ -253,12 +254,19 @@ def bisecting(spark, folder):
     return clusters.rate_spread(found, "target")
 
 
+@query("ward")
+def hierarchical(spark, folder):
+    found = ward_clusters(_projected(spark, folder), ["pc1", "pc2", "pc3"], 5)
+    return found.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("target").alias("rate"))
+
+
 @query("cluster_table")
 def clusterings(spark, folder):
-    """Three clusterings of one projection: clusters, silhouette and spread of the positive rate."""
+    """Four clusterings of one projection: clusters, silhouette and spread of the positive rate."""
     axes = ["pc1", "pc2", "pc3"]
     methods = {
         "kmeans": lambda rows: clusters.assign(rows, clusters.kmeans(rows, axes, 5), axes),
+        "ward": lambda rows: ward_clusters(rows, axes, 5),
         "bisecting": lambda rows: clusters.assign(rows, clusters.bisecting(rows, axes), axes),
         "dbscan": lambda rows: dbscan(rows, axes, 0.5, 20),
     }
