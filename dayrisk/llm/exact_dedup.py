@@ -18,9 +18,18 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from dayrisk.llm.common import free_name, narrowed, settled, with_arrow_columns
 
-RANGE_BITS = 12
-QUOTIENT_BITS = 20
-REMAINDER_BITS = 64 - RANGE_BITS - QUOTIENT_BITS
+#: A fingerprint is a range, a quotient and a remainder; the ranges are as many as keep the fingerprints of one at about RANGE_ROWS.
+REMAINDER_BITS = 32
+RANGE_ROWS = 1 << 18
+LEAST_RANGE_BITS, MOST_RANGE_BITS = 8, 31
+#: A class of copies with more than this part of all rows is dealt into as many parts as it has such shares: at most so many are large.
+SHARES = 4096
+#: Fingerprints that wait before they are sorted into a partition's own.
+WAITING = 1 << 20
+
+
+def range_bits(rows: int) -> int:
+    return min(MOST_RANGE_BITS, max(LEAST_RANGE_BITS, (rows // RANGE_ROWS).bit_length()))
 
 
 class CountingQuotientFilter:
@@ -72,45 +81,60 @@ FILTER = T.StructType(
 REPEATED = T.StructType([T.StructField("fp", T.LongType()), T.StructField("seen", T.LongType())])
 
 
-def partition_filters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The filters of one partition, a row for each range of fingerprints that occurs in it."""
-    keys, counts = np.empty(0, np.uint64), np.empty(0, np.uint64)
-    for batch in batches:
-        more = batch["fp"].to_numpy(np.int64).view(np.uint64)
-        keys, counts = merged_counts(np.concatenate([keys, more]), np.concatenate([counts, np.ones(len(more), np.uint64)]))
-    inner = np.uint64(64 - RANGE_BITS)
-    ranges = (keys >> inner).astype(np.int64)
-    starts = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]])) if len(ranges) else np.empty(0, np.int64)
-    rows = []
-    for a, b in zip(starts, [*starts[1:], len(keys)]):
-        own = CountingQuotientFilter.of_sorted(keys[a:b] & ((np.uint64(1) << inner) - np.uint64(1)), counts[a:b])
-        rows.append((int(ranges[a]), *own.to_bytes()))
-    yield pd.DataFrame(rows, columns=FILTER.names)
+def partition_filters(bits: int):
+    """The filters of one partition, a row for each of the ``2 ** bits`` ranges of fingerprints that occurs in it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, counts, waiting = np.empty(0, np.uint64), np.empty(0, np.uint64), []
+
+        def sort_in() -> tuple[np.ndarray, np.ndarray]:
+            new = [np.ones(len(w), np.uint64) for w in waiting]
+            return merged_counts(np.concatenate([keys, *waiting]), np.concatenate([counts, *new]))
 
+        for batch in batches:
+            waiting.append(batch["fp"].to_numpy(np.int64).view(np.uint64))
+            if sum(map(len, waiting)) > max(WAITING, len(keys)):
+                keys, counts = sort_in()
+                waiting = []
+        keys, counts = sort_in()
+        inner = np.uint64(64 - bits)
+        ranges = (keys >> inner).astype(np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]])) if len(ranges) else np.empty(0, np.int64)
+        rows = []
+        for a, b in zip(starts, [*starts[1:], len(keys)]):
+            own = CountingQuotientFilter.of_sorted(keys[a:b] & ((np.uint64(1) << inner) - np.uint64(1)), counts[a:b])
+            rows.append((int(ranges[a]), *own.to_bytes()))
+        yield pd.DataFrame(rows, columns=FILTER.names)
+
+    return run
 
-def merged_filters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def merged_filters(bits: int):
     """Fingerprints counted more than once; rows come sorted by range, and a range may go on in the next batch."""
 
     def repeated(number: int, filters: list[CountingQuotientFilter]) -> pd.DataFrame:
         keys, counts = CountingQuotientFilter.merge(filters).repeated()
-        fps = (np.uint64(number) << np.uint64(64 - RANGE_BITS)) | keys
+        fps = (np.uint64(number) << np.uint64(64 - bits)) | keys
         return pd.DataFrame({"fp": fps.view(np.int64), "seen": counts.astype(np.int64)})
 
-    number, waiting = None, []
-    for batch in batches:
-        out = []
-        for row in batch.itertuples(index=False):
-            if row.range != number and waiting:
-                out.append(repeated(number, waiting))
-                waiting = []
-            number = row.range
-            waiting.append(CountingQuotientFilter.from_bytes(*row[1:]))
-        if len(waiting) > 1:
-            waiting = [CountingQuotientFilter.merge(waiting)]
-        if out:
-            yield pd.concat(out)
-    if waiting:
-        yield repeated(number, waiting)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, waiting = None, []
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                if row.range != number and waiting:
+                    out.append(repeated(number, waiting))
+                    waiting = []
+                number = row.range
+                waiting.append(CountingQuotientFilter.from_bytes(*row[1:]))
+            if len(waiting) > 1:
+                waiting = [CountingQuotientFilter.merge(waiting)]
+            if out:
+                yield pd.concat(out)
+        if waiting:
+            yield repeated(number, waiting)
+
+    return run
 
 
 def _digests(texts: pa.Array) -> list:
@@ -124,7 +148,7 @@ def _digests(texts: pa.Array) -> list:
     return [np.array(fps, np.uint64).view(np.int64), pa.array(sizes, pa.int64()), shas]
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shares: int = SHARES) -> DataFrame:
     """``(doc_id, keep_id, group_size, kept, text_sha256)``: one row per row of ``docs``.
 
     Texts are equal when they are identical after lower-casing A-Z; null counts as empty. The row with the largest
@@ -136,16 +160,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     rows = settled(
         with_arrow_columns(named, _digests, fields, carry=["doc_id"]).withColumn("row", F.monotonically_increasing_id())
     )
-    filters = rows.select("fp").mapInPandas(partition_filters, FILTER)
-    repeated = filters.repartition("range").sortWithinPartitions("range").mapInPandas(merged_filters, REPEATED)
+    total = rows.count()
+    bits = range_bits(total)
+    filters = rows.select("fp").mapInPandas(partition_filters(bits), FILTER)
+    repeated = filters.repartition("range").sortWithinPartitions("range").mapInPandas(merged_filters(bits), REPEATED)
     # settled, so that the groups below are pre-aggregated before their shuffle
     routed = settled(rows.join(repeated.select("fp"), "fp", "left_semi"))
-    classes = (
-        routed.groupBy("fp", "size", "text_sha256")
-        .agg(F.max(F.struct("doc_id", "row")).alias("last"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
+    key = ["fp", "size", "text_sha256"]
+    classes = settled(
+        routed.groupBy(*key).agg(F.max(F.struct("doc_id", "row")).alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1")
     )
-    joined = rows.join(classes, ["fp", "size", "text_sha256"], "left")
+    # only a large class is copied, once for each of its parts
+    share = max(1.0, total / shares)
+    parts = F.when(F.col("n") > share, F.ceil(F.col("n") / share)).otherwise(1).cast("int").alias("parts")
+    large = F.broadcast(classes.where(F.col("n") > share).select(*key, parts))  # at most ``shares`` rows
+    dealt = rows.join(large, key, "left").withColumn("part", F.pmod("row", F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    copies = classes.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    joined = dealt.join(copies, [*key, "part"], "left")
     return joined.select(
         "doc_id",
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("last.doc_id")).alias("keep_id"),

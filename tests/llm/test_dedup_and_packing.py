@@ -92,6 +92,26 @@ def test_pieces_are_the_tokenizers_ids_and_fit_together(spark):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shares, waiting", [(1, 1 << 20), (4, 50), (4096, 1)])
+def test_a_class_with_a_third_of_all_rows(spark, monkeypatch, shares, waiting):
+    monkeypatch.setattr(exact_dedup, "WAITING", waiting)
+    texts = ["Hot text"] * 200 + [f"copy {i // 2}" for i in range(200)] + [f"alone {i}" for i in range(200)]
+    rows = exact_dedup.exact_groups(documents(spark, texts).repartition(5), shares=shares).collect()
+    assert len(rows) == 600
+    for r in rows:
+        own = [i for i, t in enumerate(texts) if t == texts[r.doc_id]]
+        assert (r.keep_id, r.group_size, r.kept) == (max(own), len(own), r.doc_id == max(own))
+
+
+def test_ranges_grow_with_the_rows():
+    assert [exact_dedup.range_bits(n) for n in (0, 10**6, 10**9, 10**11, 10**15)] == [8, 8, 12, 19, 31]
+    keys = np.random.default_rng(0).integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2)
+    for bits in (8, 19, 31):
+        inner = np.uint64(64 - bits)
+        own = np.unique(keys & ((np.uint64(1) << inner) - np.uint64(1)))
+        assert (exact_dedup.CountingQuotientFilter.of_sorted(own, np.ones(len(own), np.uint64)).keys() == own).all()
+
+
 PARTS = st.sampled_from([" ", "  ", "\n", "\t", "a", "Word", " the", "'s", "42", "é", "日本", "\x00", "\u3000", "\x85", "<|endoftext|>", "<|", "😀"])
 
 
