@@ -36,6 +36,23 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+#: A key with more than this part of all rows is large; at most so many keys are.
+SHARES = 4096
+
+
+def dealt_join(rows: DataFrame, by_key: DataFrame, keys: list[str], size: str, deal: str, how: str = "inner", shares: int = SHARES) -> DataFrame:
+    """``rows`` joined to the one row of their key in the settled ``by_key``, whose column ``size`` counts the rows of the key.
+
+    The rows of a large key are dealt into parts by the whole number ``deal``, and only that key's row is copied, once for each part.
+    """
+    share = max(1.0, (by_key.agg(F.sum(size)).first()[0] or 0) / shares)
+    parts = F.when(F.col(size) > share, F.ceil(F.col(size) / share)).otherwise(1).cast("int")
+    large = F.broadcast(by_key.where(F.col(size) > share).select(*keys, parts.alias("_parts")))  # at most ``shares`` rows
+    dealt = rows.join(large, keys, "left").withColumn("_part", F.pmod(F.col(deal), F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
+    copies = by_key.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return dealt.join(copies, [*keys, "_part"], how).drop("_part")
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Cut a batch into slices of about SLICE_BYTES of text (one row at least); null text counts as empty."""
     texts = batch.column(column).cast(pa.large_string()).fill_null("")

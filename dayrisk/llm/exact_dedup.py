@@ -16,14 +16,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from dayrisk.llm.common import free_name, narrowed, settled, with_arrow_columns
+from dayrisk.llm.common import SHARES, dealt_join, free_name, narrowed, settled, with_arrow_columns
 
 #: A fingerprint is a range, a quotient and a remainder; the ranges are as many as keep the fingerprints of one at about RANGE_ROWS.
 REMAINDER_BITS = 32
 RANGE_ROWS = 1 << 18
 LEAST_RANGE_BITS, MOST_RANGE_BITS = 8, 31
-#: A class of copies with more than this part of all rows is dealt into as many parts as it has such shares: at most so many are large.
-SHARES = 4096
 #: Fingerprints that wait before they are sorted into a partition's own.
 WAITING = 1 << 20
 
@@ -170,13 +168,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sh
     classes = settled(
         routed.groupBy(*key).agg(F.max(F.struct("doc_id", "row")).alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1")
     )
-    # only a large class is copied, once for each of its parts
-    share = max(1.0, total / shares)
-    parts = F.when(F.col("n") > share, F.ceil(F.col("n") / share)).otherwise(1).cast("int").alias("parts")
-    large = F.broadcast(classes.where(F.col("n") > share).select(*key, parts))  # at most ``shares`` rows
-    dealt = rows.join(large, key, "left").withColumn("part", F.pmod("row", F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
-    copies = classes.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
-    joined = dealt.join(copies, [*key, "part"], "left")
+    joined = dealt_join(rows, classes, key, "n", "row", "left", shares)
     return joined.select(
         "doc_id",
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("last.doc_id")).alias("keep_id"),

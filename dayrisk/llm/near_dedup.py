@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from dayrisk.llm.common import free_name, mixed, narrowed, settled, split_words, with_arrow_columns, word_hashes
+from dayrisk.llm.common import dealt_join, free_name, mixed, narrowed, settled, split_words, with_arrow_columns, word_hashes
 from dayrisk.operators.components import connected_components
 
 SIMILARITY = 0.8
@@ -259,7 +259,8 @@ def _classes(signed: DataFrame, named: DataFrame) -> DataFrame:
     firsts = signed.groupBy("fp").agg(F.min("node").alias("node"))
     bands = signed.where("n > 0").join(firsts.select("node"), "node", "left_semi").select("node", "n", F.posexplode("bands").alias("band", "key"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("lead")).where("size > 1")
-    buckets = settled(bands.join(shared, "key").select("key", "band", "node", "n", "size", "lead"))
+    shared = settled(shared)
+    buckets = settled(dealt_join(bands, shared, ["key"], "size", "node").select("key", "band", "node", "n", "size", "lead"))
     nodes = settled(buckets.select("node").distinct())
     keys = signed.join(nodes, "node", "left_semi").select("node", "doc_id", "text_key")
     same = keys["doc_id"].eqNullSafe(named["doc_id"]) & (keys["text_key"] == named["text_key"])
@@ -293,8 +294,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     firsts = members.groupBy("fp").agg(F.min("node").alias("first"), F.min(F.struct("doc_id", "node")).alias("least"), F.count(F.lit(1)).alias("copies"))
     classed = firsts.join(labels.withColumnRenamed("node", "first"), "first", "left").withColumn("label", F.coalesce("label", "first"))
     wholes = classed.groupBy("label").agg(F.min("least").alias("least"), F.sum("copies").alias("class_size"))
-    by_fp = settled(classed.select("fp", "label").join(wholes, "label").select("fp", "least", "class_size"))
-    return members.join(by_fp, "fp").select(
+    by_fp = settled(classed.select("fp", "label", "copies").join(wholes, "label").select("fp", "least", "class_size", "copies"))
+    return dealt_join(members, by_fp, ["fp"], "copies", "node").select(
         "doc_id",
         F.col("least.doc_id").alias("class_id"),
         "class_size",
