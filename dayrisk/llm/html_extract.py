@@ -358,7 +358,8 @@ def learn_weights(pages: DataFrame, bound: int = SAMPLE_PAGES, most: int = SAMPL
 def extract_pages(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` of every row: the main text of its whole html.
 
-    Null html counts as empty; a page without an article has an empty text; an empty table gives an empty result.
+    Null html counts as empty; a page without an article has an empty text. Repeated rows and null or tied ids are pages of their own with the same text; a block
+    whose two labels cost the same is not the article. Pages of any length are read whole; other columns are not looked at; an empty table gives an empty result.
     """
     weights = learn_weights(pages)
 

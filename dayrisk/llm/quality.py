@@ -177,5 +177,9 @@ class QualityModel:
 
 
 def judge_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per document: its base counts, ``base_failed``, ``probability`` and ``kept``; an empty table gives an empty result."""
+    """``(doc_id, BASE, base_failed, probability, kept)``, one row for each row of ``docs``.
+
+    Null and empty texts have no words and fail the base rules. Repeated rows and null or tied ids are judged each on their own; an id without a
+    label, or labelled null, is not learned from. Texts of any length are read whole. Other columns are not looked at. An empty table gives an empty result.
+    """
     return QualityModel.learn(docs, labels).add_verdict(narrowed(docs, "doc_id", "text"), carry=["doc_id"])

@@ -195,7 +195,11 @@ class ToxicityModel:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` for every document; an empty table gives an empty result."""
+    """``(doc_id, held_out, score, predicted)``, one row for each row of ``docs``.
+
+    Null and empty texts have the score of a text without features. Repeated rows and null or tied ids are scored each on their own (a null id is
+    not held out and not learned from). Texts of any length are read whole. Other columns are not looked at. An empty table gives an empty result.
+    """
     model = ToxicityModel.learn(docs, labels)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     scored = model.add_scores(narrowed(docs, "doc_id", "text"), carry=["doc_id"])

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from dayrisk.llm import language_id, quality, toxicity
+from dayrisk.llm import labelled, language_id, quality, toxicity
 from tests.llm.helpers import documents, prose
 
 WHITE = "[^\x20\x09-\x0d]+"
@@ -161,3 +161,22 @@ def test_repeated_ids_long_texts_and_clashing_columns(spark):
     got = language_id.identify_documents(docs).collect()
     assert len(got) == 15 and {r.lang_pred for r in got if r.doc_id == 3} == {"und"} and all(0 <= r.score <= 1 for r in got)
 
+
+def test_judges_and_scores_take_any_row(spark):
+    long = "plain words of a long document that goes on and on, line after line. " * 20_000
+    rows = [(1, long, "en", "s", 1), (1, long, "en", "s", 1), (None, "you stupid idiot " * 30, "en", "s", 1), (2, "", "en", "s", 1), (3, None, None, None, None)]
+    rows += [(10 + i, prose(i, 80) + (" stupid idiot" if i % 2 else ""), "en", "s", 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({c: F.lit(9) for c in ("label", "kept", "score", "n_words", "probability")})
+    labels = spark.createDataFrame([(10 + i, 1, i % 2) for i in range(60)] + [(1, 1, 0), (None, 1, 1), (12, None, None)], "doc_id long, quality int, toxic int")
+    judged = quality.judge_documents(docs, labels).collect()
+    scored = toxicity.score_documents(docs, labels).collect()
+    assert len(judged) == len(scored) == len(rows)
+    assert [r.base_failed for r in judged if r.doc_id in (2, 3)] == [True, True] and len({r.n_words for r in judged if r.doc_id == 1}) == 1
+    assert len({r.score for r in scored if r.doc_id == 1}) == 1 and all(0 <= r.score <= 1 for r in scored)
+
+
+def test_an_id_that_is_repeated_a_hundred_thousand_times_is_one_row_of_the_sample(spark):
+    docs = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("hot text").alias("text")).unionByName(spark.createDataFrame([(8, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(7, 1), (7, 0), (8, 0)], "doc_id long, toxic int")
+    got = {r.doc_id: (r.text, r.label) for r in labelled.labelled_sample(docs, labels, "toxic").collect()}
+    assert got == {7: ("hot text", 1), 8: ("", 0)} and labelled.labelled_sample(docs, labels, "toxic").count() == 2
