@@ -3,20 +3,36 @@
 from __future__ import annotations
 
 import tempfile
-
+import zipfile
 from collections.abc import Callable, Iterable
 from multiprocessing.pool import ThreadPool
+from pathlib import Path
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set what results depend on (UTC) and leave sizing to the cluster's own configuration."""
+    """Set what results depend on (UTC), give the workers this package, and leave sizing to the cluster's own configuration."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let the workers import this package wherever they were started: once for each context its files travel as a zip."""
+    context = spark.sparkContext
+    if getattr(context, "_dayrisk_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="dayrisk-code-")) / "dayrisk.zip"  # read by the driver only, which hands it on
+    with zipfile.ZipFile(path, "w") as packed:
+        for file in sorted(root.rglob("*.py")):
+            packed.write(file, Path(root.name) / file.relative_to(root))
+    context.addPyFile(str(path))
+    context._dayrisk_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder that ``spark.checkpoint.dir`` names.
 
