@@ -20,31 +20,47 @@ from dayrisk.session import ensure_checkpoint_dir
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is under one half."""
+    """Documents whose toxicity is under one half.
+
+    Null and empty texts have no feature and stay; repeated rows and null or tied ids are scored each on their own. An empty table stays empty.
+    """
     score = free_name(docs, "_toxicity")
     scored = ToxicityModel.learn(docs, read_table(spark, sf_dir, "labels")).add_scores(docs, score)
     return scored.where(F.col(score) < 0.5).drop(score)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the boosted trees."""
+    """Documents that pass the base rules and the boosted trees.
+
+    Null and empty texts have no words and go; repeated rows and null or tied ids are judged each on their own. An empty table stays empty.
+    """
     prefix = free_name(docs, "_quality_") + "_"
     judged = QualityModel.learn(docs, read_table(spark, sf_dir, "labels")).add_verdict(docs, prefix=prefix)
     return judged.where(F.col(prefix + "kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest id."""
+    """Of equal texts, the document with the largest id.
+
+    Null counts as an empty text, a null id as the smallest; of rows with one id and text one stays. An empty table stays empty.
+    """
     return drop_exact_duplicates(docs)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates, the document with the smallest id."""
+    """Of each class of near-duplicates, the document with the smallest id.
+
+    Texts without words are near only to the same text, null being empty; a null id is the smallest; of rows with one id and text one stays. An
+    empty table stays empty.
+    """
     return drop_near_duplicates(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining documents and their places in sequences of 2048 tokens."""
+    """Pieces of the remaining documents and their places in sequences of 2048 tokens.
+
+    Null and empty texts are one id each; rows with one id are documents of their own. An empty table gives no piece.
+    """
     return pack_documents(docs)
 
 
