@@ -31,9 +31,8 @@ def in_time_blocks(
 
     ``_block`` is the block a copy works in and ``_own`` tells the row itself from its copies.
     With ``gap_mode='time'`` a block looks back ``reach`` steps of time, which a row can decide alone.
-    With ``gap_mode='rows'`` it looks back ``reach`` rows, however long the gaps: one small count per
-    block tells whether the last ``reach`` steps before its end hold enough rows. If not, the
-    whole block is copied forward, and blocks shorter than ``reach`` rows pass on to earlier ones.
+    With ``gap_mode='rows'`` it looks back ``reach`` rows, however long the gaps: rows are dealt by (keys, block) once, every block sends
+    on its last rows, as many as later blocks still need, and only these move again. The result stays dealt by (keys, ``_block``).
     ``(keys, ts)`` must be unique and ``ts`` not null; a null key is a series of its own.
     """
     keys = list(keys)
@@ -42,35 +41,33 @@ def in_time_blocks(
     if reach * step_seconds > block_seconds:
         raise ValueError("a block must be longer than the look-back")
     home = "_home"
-    to_end = (F.col(home).cast("long") + 1) * block_seconds - seconds
-    in_tail = to_end <= reach * step_seconds
     columns = rows.columns
     rows = rows.withColumn(home, F.floor(seconds / block_seconds).cast("int"))
-
     if gap_mode == "time":
-        targets = F.when(in_tail, F.array(F.col(home), F.col(home) + 1)).otherwise(F.array(F.col(home)))
-    elif gap_mode == "rows":
-        feeds, match = _forward_feeds(rows, home, in_tail, reach, keys), F.lit(True)
-        for c in (*keys, home):  # a null key is a series of its own
-            feeds = feeds.withColumnRenamed(c, f"_of{c}")
-            match = match & F.col(c).eqNullSafe(F.col(f"_of{c}"))
-        rows = rows.join(feeds, match)
-        forward = F.transform(F.filter("_feeds", lambda f: f["whole"] | in_tail), lambda f: f["to"])
-        targets = F.concat(F.array(home), forward)
-    else:
+        to_end = (F.col(home).cast("long") + 1) * block_seconds - seconds
+        targets = F.when(to_end <= reach * step_seconds, F.array(F.col(home), F.col(home) + 1)).otherwise(F.array(F.col(home)))
+        spread = rows.withColumn(BLOCK, F.explode(targets))
+        return spread.select(*columns, BLOCK, (F.col(BLOCK) == F.col(home)).alias(OWN))
+    if gap_mode != "rows":
         raise ValueError(f"gap_mode must be 'rows' or 'time', not {gap_mode!r}")
-    spread = rows.withColumn(BLOCK, F.explode(targets))
-    return spread.select(*columns, BLOCK, (F.col(BLOCK) == F.col(home)).alias(OWN))
-
-
-def _forward_feeds(rows: DataFrame, home: str, in_tail: Column, reach: int, keys: Sequence[str]) -> DataFrame:
-    """Per block: the later blocks that need its rows, and whether its tail is enough for them."""
-    sizes = rows.groupBy(*keys, home).agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if(in_tail).alias("_n_tail")
-    )
+    dealt = rows.repartition(*keys, home)
+    from_end = F.row_number().over(Window.partitionBy(*keys, home).orderBy(F.col(ts).desc()))
+    last = dealt.withColumn("_from_end", from_end).where(F.col("_from_end") <= reach)
+    feeds, match = _forward_feeds(rows, home, reach, keys), F.lit(True)
+    for c in (*keys, home):  # a null key is a series of its own
+        feeds = feeds.withColumnRenamed(c, f"_of{c}")
+        match = match & F.col(c).eqNullSafe(F.col(f"_of{c}"))
+    wanted = F.transform(F.filter("_feeds", lambda f: f["rows"] >= F.col("_from_end")), lambda f: f["to"])
+    copies = last.join(feeds, match).withColumn(BLOCK, F.explode(wanted)).select(*columns, BLOCK, F.lit(False).alias(OWN)).repartition(*keys, BLOCK)
+    return dealt.select(*columns, F.col(home).alias(BLOCK), F.lit(True).alias(OWN)).unionByName(copies)
+
+
+def _forward_feeds(rows: DataFrame, home: str, reach: int, keys: Sequence[str]) -> DataFrame:
+    """Per block the later blocks that look back to it, and to how many of its last rows; blocks that none looks back to are left out."""
+    sizes = rows.groupBy(*keys, home).agg(F.count(F.lit(1)).alias("_n"))
     in_order = Window.partitionBy(*keys).orderBy(home)
     later = in_order.rowsBetween(1, reach)
-    gap = lambda f: f["_before"] - F.col("_upto")  # rows between the end of this block and block f
+    between = lambda f: f["_before"] - F.col("_upto")  # noqa: E731  rows between the end of this block and block f
     return (
         sizes.withColumn("_upto", F.sum("_n").over(in_order))
         .withColumn("_before", F.col("_upto") - F.col("_n"))
@@ -79,12 +76,10 @@ def _forward_feeds(rows: DataFrame, home: str, in_tail: Column, reach: int, keys
             *keys,
             home,
             F.transform(
-                F.filter("_later", lambda f: gap(f) < reach),
-                lambda f: F.struct(
-                    f[home].alias("to"), ((gap(f) > 0) | (F.col("_n_tail") < reach)).alias("whole")
-                ),
+                F.filter("_later", lambda f: between(f) < reach), lambda f: F.struct(f[home].alias("to"), (F.lit(reach) - between(f)).alias("rows"))
             ).alias("_feeds"),
         )
+        .where(F.size("_feeds") > 0)
     )
 
 

@@ -289,3 +289,22 @@ def test_rows_of_a_null_series_stay(spark, gap_mode):
     df = spark.createDataFrame(rows, "series string, ts timestamp, v double")
     got = in_time_blocks(df, "ts", 3, ["series"], block_days=1, gap_mode=gap_mode)
     assert got.where("_own").groupBy("series").count().count() == 3 and got.where("_own").count() == 180
+
+
+def test_hourly_rows_of_many_series_are_dealt_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hour = F.timestamp_seconds(F.lit(1_600_000_000) + F.floor(F.col("id") / 5) * 3600)
+        rows = spark.range(40_000).select((F.col("id") % 5).alias("user"), hour.alias("ts"), F.randn(1).alias("Bz_gsm"), F.randn(2).alias("Dst"))
+        daily = daily_features(rows, PanelConfig(drivers=("Bz_gsm", "Dst"), keys=("user",), block_days=60))
+        daily.collect()
+        plan = daily._jdf.queryExecution().executedPlan().toString()
+        exchanges = [line for line in plan[: plan.index("== Initial Plan")].splitlines() if "Exchange" in line]
+        dealt = [line for line in exchanges if "REPARTITION_BY_COL" in line and "ReusedExchange" not in line]
+        assert len([line for line in dealt if "_home" in line]) == 1 and len([line for line in dealt if "_block" in line]) == 1
+        assert any("ReusedExchange" in line and "Bz_gsm" in line for line in exchanges)
+        # what else moves is counts, the last rows of blocks and days
+        assert not any("_home" not in line and "Dst" in line for line in exchanges if "ReusedExchange" not in line)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
