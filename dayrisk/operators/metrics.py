@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dayrisk.functions.scalars import clip, even_grid, grid_index
@@ -211,7 +212,10 @@ def threshold_sweep(
         cell = F.greatest(grid_index(F.col(p), grid), F.lit(-1)) + 1  # cell 0: below every threshold
     else:
         grid = sorted(set(thresholds))
-        cell = sum((F.when(F.col(p) >= F.lit(t), 1).otherwise(0) for t in grid), F.lit(0))
+        # a binary search; NaN is above all
+        placed = Bucketizer(splits=[float("-inf"), *map(float, grid), float("inf")], inputCol="_p", outputCol="_cell", handleInvalid="keep")
+        held = placed.transform(held.withColumn("_p", F.col(p).cast("double")))
+        cell = F.least(F.col("_cell").cast("int"), F.lit(len(grid)))
     cells = held.groupBy(*by, cell.alias("point")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
     )
