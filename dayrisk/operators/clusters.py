@@ -7,14 +7,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from dayrisk.constants import SEED
 from dayrisk.operators.linear import vectors
-from dayrisk.session import ensure_checkpoint_dir, side_by_side
+from dayrisk.operators.many_means import Centres, many_means
 
 
 @dataclass(frozen=True)
@@ -44,15 +44,9 @@ def fit_pca(df: DataFrame, features: Sequence[str], k: int = 3) -> Projection:
     return Projection(tuple(features), centre, tuple(axes), tuple(float(x) for x in model.explainedVariance))
 
 
-def kmeans(df: DataFrame, features: Sequence[str], k: int, starts: int = 20, seed: int = SEED, parallelism: int = 8):
-    """The cheapest of several seeded K-means fits; returns the model. Fits run side by side."""
-    ensure_checkpoint_dir(df.sparkSession)
-    data = vectors(df, features, []).checkpoint().persist()  # short lineage for many small jobs
-    try:
-        fit = lambda i: KMeans(k=k, seed=seed + i, maxIter=100).fit(data)
-        return min(side_by_side(fit, range(starts), parallelism), key=lambda m: m.summary.trainingCost)
-    finally:
-        data.unpersist()
+def kmeans(df: DataFrame, features: Sequence[str], k: int, starts: int = 20, seed: int = SEED) -> Centres:
+    """The cheapest of several seeded K-means fits, which share their passes."""
+    return many_means(df, features, [k], starts, seed)[0]
 
 
 @dataclass(frozen=True)
@@ -83,6 +77,8 @@ def bisecting(df: DataFrame, features: Sequence[str], k: int = 5, seed: int = SE
 
 
 def assign(df: DataFrame, model, features: Sequence[str], out: str = "cluster") -> DataFrame:
+    if isinstance(model, Centres):
+        return model.transform(df, out)
     if isinstance(model, ShiftedModel):
         rows, names, fitted = df.select("*", *model.moved(features)), [f"_s{i}" for i in range(len(features))], model.model
     else:

@@ -46,7 +46,7 @@ def _sums(x: np.ndarray, y: np.ndarray, weights: np.ndarray, beta: np.ndarray, l
     return np.concatenate([(weights * value).sum(0)[:, None], (weights * slope).T @ x, np.stack(grams).reshape(len(beta), -1)], 1)
 
 
-def _added(parts: DataFrame, most: int = PARTS) -> np.ndarray:
+def added(parts: DataFrame, most: int = PARTS) -> np.ndarray:
     """Element-wise sum of the arrays ``sums`` of all rows; the driver gets ``most`` rows at most."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +114,7 @@ def newton(
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([total.astype(float).tobytes()], pa.binary())], names=["sums"])
 
-        return _added(rows.mapInArrow(sums, "sums binary"))
+        return added(rows.mapInArrow(sums, "sums binary"))
 
     first = run(None, list(range(fits)))
     width = round(first[0] / first[-1])

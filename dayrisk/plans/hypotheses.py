@@ -6,15 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from dayrisk.constants import ENVIRONMENTAL, REGIME_DRIVERS
+from dayrisk.constants import ENVIRONMENTAL, REGIME_DRIVERS, SEED
 from dayrisk.functions.cleaning import complete_cases
-from dayrisk.operators.clusters import assign, kmeans
+from dayrisk.operators.clusters import assign
 from dayrisk.operators.columns import one_hot
 from dayrisk.operators.daily import dominant_phase, to_daily
 from dayrisk.operators.linear import fit_logit
+from dayrisk.operators.many_means import many_means
 from dayrisk.operators.metrics import log_loss, null_log_loss
 from dayrisk.operators.significance import chi_square_independence, likelihood_ratio
 from dayrisk.operators.windows import BLOCK, hourly_features
+from dayrisk.session import settled, side_by_side
 
 
 def next_day_odds(
@@ -69,30 +71,22 @@ def regimes_beyond_index(
     """Do cluster dummies improve a logit on the daily maximum index? One row per number of clusters."""
     drivers = list(drivers)
     statistics = {d: F.avg(d) for d in drivers} | {"index_max": F.max(index)}
-    daily = complete_cases(to_daily(hourly, statistics, fill=False), drivers)
+    daily = settled(complete_cases(to_daily(hourly, statistics, fill=False), drivers))
     moments = daily.agg(*[F.struct(F.avg(d), F.stddev_pop(d)).alias(d) for d in drivers]).first()
-    scaled = daily.select(
+    scaled = settled(daily.select(
         "date", "index_max", *[((F.col(d) - F.lit(moments[d][0])) / F.lit(moments[d][1] or 1.0)).alias(d) for d in drivers]
-    ).persist()
-    out = []
-    try:
-        for k in ks:
-            model = kmeans(scaled, drivers, k, starts)
-            rows = assign(scaled, model, drivers, "regime").join(labels.select("date", F.col(label).cast("int").alias("y")), "date")
-            rows = rows.where(F.col("index_max").isNotNull() & F.col("y").isNotNull())
-            rows = rows.select("y", "index_max", *one_hot(F.col("regime"), range(k), "regime_")).persist()
-            try:
-                small = fit_logit(rows, ["index_max"])
-                large = fit_logit(rows, ["index_max", *[f"regime_{i}" for i in range(1, k)]])
-                loss = rows.agg(
-                    F.count(F.lit(1)).alias("n"),
-                    log_loss(F.col("y"), small.probability()).alias("small"),
-                    log_loss(F.col("y"), large.probability()).alias("large"),
-                ).first()
-            finally:
-                rows.unpersist()
-            statistic, p = likelihood_ratio(loss["n"], loss["small"], loss["large"], k - 1)
-            out.append((k, statistic, k - 1, p))
-    finally:
-        scaled.unpersist()
-    return hourly.sparkSession.createDataFrame(out, "k int, statistic double, dof int, p_value double")
+    ))
+    rows = scaled
+    for k, model in zip(ks, many_means(scaled, drivers, ks, starts, SEED)):
+        rows = assign(rows, model, drivers, f"regime_of_{k}")
+    rows = rows.join(labels.select("date", F.col(label).cast("int").alias("y")), "date")
+    rows = rows.where(F.col("index_max").isNotNull() & F.col("y").isNotNull())
+    dummies = [d for k in ks for d in one_hot(F.col(f"regime_of_{k}"), range(k), f"regime_{k}_")]
+    rows = settled(rows.select("y", "index_max", *dummies))
+    models = [["index_max"], *[["index_max", *[f"regime_{k}_{i}" for i in range(1, k)]] for k in ks]]
+    fits = side_by_side(lambda features: fit_logit(rows, features), models)
+    n, small, *large = rows.agg(F.count(F.lit(1)), *[log_loss(F.col("y"), fit.probability()) for fit in fits]).first()
+    out = [(k, *likelihood_ratio(n, small, loss, k - 1)) for k, loss in zip(ks, large)]
+    return hourly.sparkSession.createDataFrame(
+        [(k, statistic, k - 1, p) for k, statistic, p in out], "k int, statistic double, dof int, p_value double"
+    )
