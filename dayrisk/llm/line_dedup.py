@@ -12,6 +12,10 @@ SHARES = 4096
 #: Elements without visible text, block elements that break lines, and references that are decoded.
 HIDDEN = r"(?is)<!--.*?-->|<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 BREAKS = r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|hr|tr|table|section|article|header|footer|nav|aside|main|form|blockquote|pre|dd|dt|dl|figure|figcaption)\b[^>]*>"
+#: HIDDEN with its first character in front, so that other characters are passed over at once.
+HIDDEN_AT = f"(?is)<(?:{HIDDEN.removeprefix('(?is)<').replace('|<', '|')})"
+#: Runs of blanks that are not one space already.
+BLANKS = r"[ \t\r\f\x0B]{2,}|[\t\r\f\x0B]"
 REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&"))
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
@@ -23,10 +27,10 @@ def host_of(url: Column) -> Column:
 
 def visible_lines(html: Column) -> Column:
     """The non-empty lines of a page's visible text, white space made single spaces."""
-    shown = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, ""), BREAKS, "\n"), "<[^>]*>", "")
+    shown = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN_AT, ""), BREAKS, "\n"), "<[^>]*>", "")
     for name, sign in REFERENCES:
         shown = F.replace(shown, F.lit(name), F.lit(sign))
-    lines = F.transform(F.split(shown, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[ \t\r\f\x0B]+", " ")))
+    lines = F.transform(F.split(F.regexp_replace(shown, BLANKS, " "), "\n"), lambda x: F.trim(x))  # once a page: no run of blanks crosses a line
     return F.filter(lines, lambda x: x != "")
 
 

@@ -254,8 +254,25 @@ def _links_apart(buckets: DataFrame, labels: DataFrame, signed: DataFrame, bags:
     return rows.repartition(*order).sortWithinPartitions(*order).mapInPandas(run, PAIR).distinct()
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose members have different labels."""
+    other = labels.select(F.col("node").alias("b"), F.col("label").alias("_b"))
+    own = labels.select(F.col("node").alias("a"), F.col("label").alias("_a"))
+    return pairs.join(own, "a").join(other, "b").where("_a <> _b").select("a", "b", "_a", "_b")
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``(node, label)`` after the links have joined labelled components; a label is the smallest node of its component."""
+    ends = settled(_apart(links.select("a", "b"), labels).select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
+    if ends.isEmpty():
+        return labels
+    roots = connected_components(ends.select(F.explode(F.array("a", "b")).alias("node")).distinct(), ends)
+    named = roots.where("node <> label").select(F.col("node").alias("label"), F.col("label").alias("_root"))
+    return settled(labels.join(named, "label", "left").select("node", F.coalesce("_root", "label").alias("label")))
+
+
 def _classes(signed: DataFrame, named: DataFrame) -> DataFrame:
-    """``(node, label)`` for the nodes whose component has more than one multiset."""
+    """``(node, label)`` for the nodes that share a bucket with another multiset."""
     firsts = signed.groupBy("fp").agg(F.min("node").alias("node"))
     bands = signed.where("n > 0").join(firsts.select("node"), "node", "left_semi").select("node", "n", F.posexplode("bands").alias("band", "key"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("lead")).where("size > 1")
@@ -268,13 +285,11 @@ def _classes(signed: DataFrame, named: DataFrame) -> DataFrame:
     bags = settled(with_arrow_columns(texts, _bags, BAG, carry=["node"]))
     near = F.least("n", "lead.n") >= SIMILARITY * F.greatest("n", "lead.n")
     stars = buckets.where((F.col("node") != F.col("lead.node")) & near).select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-    links = settled(_verified(stars, bags))
-    # members with one and the same lead are joined already; the blocks find the rest
-    led = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
-    labels = nodes.join(led, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    every = settled(links.union(_links_apart(buckets, labels, signed, bags)))
-    linked = every.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return connected_components(linked, every)
+    # a member meets its smallest lead first, then the leads that it is still apart from
+    own = nodes.select("node", F.col("node").alias("label"))
+    led = _joined(own, _verified(stars.groupBy("b").agg(F.min("a").alias("a")), bags))
+    labels = _joined(led, _verified(_apart(stars, led), bags))
+    return _joined(labels, _links_apart(buckets, labels, signed, bags))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
