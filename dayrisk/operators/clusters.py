@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.clustering import BisectingKMeans
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from dayrisk.constants import SEED
 from dayrisk.operators.linear import vectors
-from dayrisk.operators.many_means import Centres, many_means
+from dayrisk.operators.many_means import Centres
+from dayrisk.session import ensure_checkpoint_dir, side_by_side
 
 
 @dataclass(frozen=True)
@@ -44,9 +46,15 @@ def fit_pca(df: DataFrame, features: Sequence[str], k: int = 3) -> Projection:
     return Projection(tuple(features), centre, tuple(axes), tuple(float(x) for x in model.explainedVariance))
 
 
-def kmeans(df: DataFrame, features: Sequence[str], k: int, starts: int = 20, seed: int = SEED) -> Centres:
-    """The cheapest of several seeded K-means fits, which share their passes."""
-    return many_means(df, features, [k], starts, seed)[0]
+def kmeans(df: DataFrame, features: Sequence[str], k: int, starts: int = 20, seed: int = SEED, parallelism: int = 8):
+    """The cheapest of several seeded K-means fits; returns the model. Fits run side by side."""
+    ensure_checkpoint_dir(df.sparkSession)
+    data = vectors(df, features, []).checkpoint().persist()  # short lineage for many small jobs
+    try:
+        fit = lambda i: KMeans(k=k, seed=seed + i, maxIter=100).fit(data)
+        return min(side_by_side(fit, range(starts), parallelism), key=lambda m: m.summary.trainingCost)
+    finally:
+        data.unpersist()
 
 
 @dataclass(frozen=True)
@@ -102,50 +110,93 @@ def silhouette_squared(df: DataFrame, features: Sequence[str], cluster: str = "c
     return ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(data)
 
 
+#: Rows of a block of the exact silhouette: VALUES numbers at most, BLOCK_ROWS while there are fewer than BLOCKS blocks.
+VALUES, BLOCK_ROWS, BLOCKS = 2_000_000, 2048, 24
+#: Squared distances below this part of the squared lengths are computed anew from differences.
+CLOSE = 1e-3
+SLICE = 512
+
+
+def plain_distances(x: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows of ``x`` to all rows of ``z`` by one matrix product; close pairs by their differences."""
+    lengths = (x * x).sum(1)[:, None] + (z * z).sum(1)[None, :]
+    square = x @ z.T
+    square *= -2
+    square += lengths
+    lengths *= CLOSE
+    i, j = np.nonzero(square < lengths)
+    for at in range(0, len(i), 8192):
+        gap = x[i[at : at + 8192]] - z[j[at : at + 8192]]
+        square[i[at : at + 8192], j[at : at + 8192]] = (gap * gap).sum(1)
+    return np.sqrt(square, out=square)
+
+
 def silhouette_exact(
-    df: DataFrame, features: Sequence[str], cluster: str = "cluster", key: str = "id", block_rows: int = 2048
+    df: DataFrame, features: Sequence[str], cluster: str = "cluster", key: str = "id", block_rows: int | None = None
 ) -> DataFrame:
     """Mean silhouette with plain Euclidean distances: one row ``(silhouette, n_clusters)``.
 
     The definition needs every distance, so the work grows with the square of the rows; use
     :func:`silhouette_squared` for large tables. Rows are dealt into blocks by hash, each pair of
-    blocks meets in one task, and a task gives back only the sum of distances per row and cluster.
+    blocks meets once in a task of its own, which gives back only the sums of distances per row and cluster, both ways.
     Noise (cluster -1) takes part as a cluster, but the result is null with fewer than two others.
     A row alone in its cluster scores 0.
     """
     names = list(features)
-    rows = df.select(F.col(key).alias("_id"), F.col(cluster).cast("int").alias("_c"), *names).where(
+    rows = df.select(F.col(key).alias("_id"), F.col(cluster).cast("int").alias("_c"), F.array(*[F.col(n).cast("double") for n in names]).alias("_x")).where(
         F.col("_c").isNotNull()
     )
-    blocks = max(1, -(-rows.count() // block_rows))
+    n, width = rows.count(), len(names)
+    if block_rows is None:
+        blocks = max(1, -(-n * width // VALUES), min(-(-n // BLOCK_ROWS), BLOCKS))
+    else:
+        blocks = max(1, -(-n // block_rows))
+    tiles = blocks * (blocks + 1) // 2
     home = F.pmod(F.xxhash64("_id"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.select("*", home.alias("_i"), every.alias("_j"))
-    right = rows.select("*", every.alias("_i"), home.alias("_j"))
-
-    def distances(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        out = {"_id": [], "_c": [], "_to": [], "_d": [], "_m": []}
-        x = a[names].to_numpy(dtype=float)
-        for to, group in b.groupby("_c"):
-            z = group[names].to_numpy(dtype=float)
-            total = np.zeros(len(x))
-            for row in range(0, len(x), 256):
-                gap = x[row : row + 256, None, :] - z[None, :, :]
-                total[row : row + 256] = np.sqrt((gap * gap).sum(axis=2)).sum(axis=1)
-            out["_id"].append(a["_id"].to_numpy())
-            out["_c"].append(a["_c"].to_numpy())
-            out["_to"].append(np.full(len(x), to))
-            out["_d"].append(total)
-            out["_m"].append(np.full(len(x), len(z)))
-        if not out["_id"]:
-            return pd.DataFrame({c: [] for c in out})
-        return pd.DataFrame({c: np.concatenate(v) for c, v in out.items()})
-
-    kind = dict(rows.dtypes)["_id"]
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    placed = rows.withColumn("_h", home).withColumn("_o", other)
+    hi, lo = F.greatest("_h", "_o"), F.least("_h", "_o")
+    placed = placed.select("_id", "_c", "_x", (F.col("_h") == hi).alias("_left"), (F.col("_h") == lo).alias("_right"), (hi * (hi + 1) / 2 + lo).cast("int").alias("_tile"))
+    id_type = rows.schema["_id"].dataType
+    schema = T.StructType([T.StructField("_id", id_type), *[T.StructField(c, t) for c, t in (("_c", T.IntegerType()), ("_to", T.IntegerType()), ("_d", T.DoubleType()), ("_m", T.LongType()))]])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = [b for b in batches if b.num_rows]
+        if not table:
+            return
+        table = pa.Table.from_batches(table)
+        tile = table["_tile"].to_numpy()
+        for t in np.unique(tile):  # one, as every tile has a partition of its own
+            own = table.filter(pa.array(tile == t))
+            c, left, right = (own[k].to_numpy() for k in ("_c", "_left", "_right"))
+            x = pc.list_flatten(own["_x"]).to_numpy().reshape(len(c), width)
+            order = np.argsort(c, kind="stable")
+            a, b = order[left[order]], order[right[order]]
+            if not len(a) or not len(b):
+                continue
+            diagonal = bool((left & right).any())
+            to_b, m_b = np.unique(c[b], return_counts=True)
+            to_a, m_a = np.unique(c[a], return_counts=True)
+            forth, back = np.zeros((len(a), len(to_b))), np.zeros((len(b), len(to_a)))
+            for i in range(0, len(a), SLICE):
+                for j in range(0, len(b), 4 * SLICE):
+                    z = b[j : j + 4 * SLICE]
+                    d = plain_distances(x[a[i : i + SLICE]], x[z])
+                    seen, first = np.unique(c[z], return_index=True)
+                    at = np.searchsorted(to_b, seen)
+                    forth[i : i + SLICE, at] += np.add.reduceat(d, first, axis=1)
+                    if not diagonal:
+                        seen, first = np.unique(c[a[i : i + SLICE]], return_index=True)
+                        back[j : j + 4 * SLICE, np.searchsorted(to_a, seen)] += np.add.reduceat(d, first, axis=0).T
+            ids = own["_id"].combine_chunks()
+            for at, summed, to, m in ((a, forth, to_b, m_b), *(() if diagonal else ((b, back, to_a, m_a),))):
+                for k in range(len(to)):
+                    columns = [c[at], np.full(len(at), to[k], np.int32), summed[:, k], np.full(len(at), m[k], np.int64)]
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), *[pa.array(x, from_pandas=True) for x in columns]], names=schema.names)
+
     sums = (
-        left.groupBy("_i", "_j")
-        .cogroup(right.groupBy("_i", "_j"))
-        .applyInPandas(distances, f"_id {kind}, _c int, _to int, _d double, _m bigint")
+        placed.repartitionById(tiles, F.col("_tile"))
+        .mapInArrow(sums, schema)
         .groupBy("_id", "_c", "_to")
         .agg(F.sum("_d").alias("_d"), F.sum("_m").alias("_m"))
     )

@@ -17,7 +17,7 @@ def test_all_starts_share_their_passes(spark):
     df = blobs(spark, [(0, 0), (5, 0), (0, 5), (6, 6)])
     spark.sparkContext.setJobGroup("means", "means")
     try:
-        model = clusters.kmeans(df, ["a", "b"], 4, starts=20)
+        model = many_means(df, ["a", "b"], [4], 20, 7)[0]
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("means")) < 60  # twenty fits apart are hundreds
@@ -41,3 +41,10 @@ def test_few_points_and_no_rows(spark):
     assert sorted(many_means(df, ["a", "b"], [3], 4, 1)[0].centres) == [(1.0, 2.0), (3.0, 4.0)]
     with pytest.raises(ValueError):
         many_means(df.where("a > 5"), ["a", "b"], [3], 4, 1)
+
+
+def test_close_rows_far_from_the_origin_keep_their_distance():
+    x = np.random.default_rng(2).normal(size=(300, 8)) * 1e-4 + 1000
+    x[:5] = x[5]
+    exact = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    assert np.allclose(clusters.plain_distances(x, x), exact, rtol=1e-9, atol=0)
