@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from dayrisk.llm.common import dealt_join, free_name, mixed, narrowed, settled, split_words, with_arrow_columns, word_hashes
-from dayrisk.operators.components import connected_components
+from dayrisk.operators.components import connected_components, followed
 
 SIMILARITY = 0.8
 SHINGLE = 5
@@ -218,13 +218,20 @@ def block_links(rows: list[tuple], band: int) -> list[tuple[int, int]]:
     return links
 
 
-def _links_apart(buckets: DataFrame, labels: DataFrame, signed: DataFrame, bags: DataFrame) -> DataFrame:
-    """Links between members with different labels inside a bucket; a large bucket is cut into pairs of blocks of bounded size."""
-    members = buckets.where("size > 2").join(labels, "node")
-    open_ = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+def _links_apart(buckets: DataFrame, labels: DataFrame, starred: DataFrame, signed: DataFrame, bags: DataFrame) -> DataFrame:
+    """Links between members with different labels inside a bucket; a large bucket is cut into pairs of blocks of bounded size.
+
+    A member with a link to its lead in ``starred(a, b)`` goes under the lead's label there.
+    """
+    met = starred.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("met"))  # at most BANDS leads
+    led = F.coalesce(F.array_contains("met", F.col("lead.node")), F.lit(False))
+    members = buckets.where("size > 2").join(labels.join(met, "node", "left"), "node").withColumn("met", led)
+    own_label, lead_label = F.when(~F.col("met"), F.col("label")), F.when(F.col("node") == F.col("lead.node"), F.col("label"))
+    open_ = members.groupBy("key").agg(F.min(own_label).alias("lo"), F.max(own_label).alias("hi"), F.max(lead_label).alias("lead_label")).where("lo <> hi")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = (
-        members.join(open_.select("key"), "key", "left_semi")
+        members.join(open_.select("key", "lead_label"), "key")
+        .withColumn("label", F.when(F.col("met"), F.col("lead_label")).otherwise(F.col("label")))
         .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -232,6 +239,7 @@ def _links_apart(buckets: DataFrame, labels: DataFrame, signed: DataFrame, bags:
     rows = (
         placed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "band", "node", "label", F.col("lead.node").alias("lead"), "n", F.col("own").alias("side"))
         .join(signed.select("node", "sig", "bands"), "node")
+        .withColumn("bands", F.slice("bands", F.lit(1), F.col("band") + 1))  # later bands do not count here
         .join(bags, "node")
     )
     order = ["key", "i", "j"]
@@ -273,8 +281,8 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _classes(signed: DataFrame, named: DataFrame) -> DataFrame:
     """``(node, label)`` for the nodes that share a bucket with another multiset."""
-    firsts = signed.groupBy("fp").agg(F.min("node").alias("node"))
-    bands = signed.where("n > 0").join(firsts.select("node"), "node", "left_semi").select("node", "n", F.posexplode("bands").alias("band", "key"))
+    firsts = signed.where("n > 0").groupBy("fp").agg(F.min(F.struct("node", "n", "bands")).alias("_first")).select("_first.*")
+    bands = firsts.select("node", "n", F.posexplode("bands").alias("band", "key"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("lead")).where("size > 1")
     shared = settled(shared)
     buckets = settled(dealt_join(bands, shared, ["key"], "size", "node").select("key", "band", "node", "n", "size", "lead"))
@@ -285,11 +293,14 @@ def _classes(signed: DataFrame, named: DataFrame) -> DataFrame:
     bags = settled(with_arrow_columns(texts, _bags, BAG, carry=["node"]))
     near = F.least("n", "lead.n") >= SIMILARITY * F.greatest("n", "lead.n")
     stars = buckets.where((F.col("node") != F.col("lead.node")) & near).select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-    # a member meets its smallest lead first, then the leads that it is still apart from
-    own = nodes.select("node", F.col("node").alias("label"))
-    led = _joined(own, _verified(stars.groupBy("b").agg(F.min("a").alias("a")), bags))
-    labels = _joined(led, _verified(_apart(stars, led), bags))
-    return _joined(labels, _links_apart(buckets, labels, signed, bags))
+    # a member meets its smallest lead first, then the leads that it is still apart from; until all links are known, labels only tell
+    # which pairs need no look, so a member goes under its lead's lead and components are found once, at the end
+    first = settled(_verified(stars.groupBy("b").agg(F.min("a").alias("a")), bags))
+    leads = first.select(F.col("b").alias("node"), F.col("a").alias("new"))
+    parents = nodes.join(leads, "node", "left").select("node", F.coalesce("new", "node").alias("new"))
+    labels = settled(followed(parents).select("node", F.col("new").alias("label")))
+    links = first.union(settled(_verified(_apart(stars, labels), bags)))
+    return _joined(labels, links.union(_links_apart(buckets, labels, links, signed, bags)))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -16,10 +16,14 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     the smallest label seen among the node's neighbours, then labels are followed once. Whole regions
     merge at a time, so long chains close in logarithmically many rounds. Many nodes share one
     label: proposals to it are combined before the shuffle, and the join that follows it is salted.
+    In the first round every node names itself, so the edges alone tell its neighbours' labels.
     """
     ensure_checkpoint_dir(nodes.sparkSession)
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).checkpoint()
-    labels = nodes.select("node", F.col("node").alias("label")).checkpoint()
+    turned = F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = edges.select(F.explode(F.array(F.struct("a", "b"), turned)).alias("_edge")).select("_edge.*").checkpoint()
+    nearest = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
+    named = nodes.join(nearest, "node", "left").select("node", F.least("node", F.coalesce("near", "node")).alias("new")).checkpoint()
+    labels = followed(named).select("node", F.col("new").alias("label")).checkpoint()
     while True:
         near = (
             both.join(labels.withColumnRenamed("node", "b"), "b")
@@ -33,10 +37,10 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         ).checkpoint()
         if hooked.where(F.col("new") != F.col("label")).isEmpty():
             return labels
-        labels = _follow(hooked).select("node", F.col("new").alias("label")).checkpoint()
+        labels = followed(hooked).select("node", F.col("new").alias("label")).checkpoint()
 
 
-def _follow(state: DataFrame) -> DataFrame:
+def followed(state: DataFrame) -> DataFrame:
     """Replace each new label by the new label of the node it names."""
     salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
     named = state.select(F.col("new").alias("node")).distinct()
