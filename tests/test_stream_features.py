@@ -75,3 +75,26 @@ def test_row_features_follow_the_definitions(known):
     change = pd.Series(x[:, 1]).diff()
     np.testing.assert_array_equal(made["phase_main"], ((x[:, 1] <= -30) & (change < 0)).astype(int)[known:])
     assert (made["phase_quiet"] + made["phase_main"] + made["phase_recovery"] == 1).all()
+
+
+def test_many_series_share_states_and_calls(spark, tmp_path):
+    rows = [r for s in range(30) for r in hours(s, 60, f'"{s}"\\')] + hours(99, 60, None)
+    parts = [[r for r in rows if (r[1] - START).total_seconds() // 3600 in span] for span in (range(0, 25), range(25, 40), range(40, 60))]
+    got = run(spark, str(tmp_path), parts, groups=3)
+    held = [r for r in spark.read.format("state-metadata").load(f"{tmp_path}/state").collect()]
+    states = spark.read.format("statestore").load(f"{tmp_path}/state").count()
+    assert len(held) == 1 and states <= 3  # one for each series before
+    want = batch(spark, rows)
+    want = want[want.ts <= max(r[1] for r in rows) - dt.timedelta(hours=2)].reset_index(drop=True)
+    assert got[["series", "ts"]].fillna("").equals(want[["series", "ts"]].fillna("")) and len(got) > 1000
+    for c in want.columns[2:]:
+        np.testing.assert_allclose(got[c].astype(float), want[c].astype(float), atol=1e-9, err_msg=c)
+
+
+def test_series_of_one_group_are_forgotten_one_by_one(spark, tmp_path):
+    one = [("a", START + dt.timedelta(hours=h), float(h), 0.0) for h in range(3)]
+    other = [("b", START + dt.timedelta(days=20, hours=h), 1.0, 0.0) for h in range(6)]
+    back = [("a", START + dt.timedelta(days=21, hours=h), 50.0 + h, 0.0) for h in range(2)] + [("b", START + dt.timedelta(days=22), 1.0, 0.0)]
+    apart, shared = [run(spark, str(tmp_path / str(n)), [one, other, back], forget=86_400, groups=n) for n in (4096, 1)]
+    assert shared.equals(apart) and len(shared) == 11
+    assert np.isnan(shared[(shared.series == "a") & (shared.ts == START + dt.timedelta(days=21))]["Bz_gsm_lag1h"].iloc[0])
