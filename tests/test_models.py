@@ -13,7 +13,7 @@ from dayrisk.operators.metrics import ranking_scores
 from dayrisk.plans import study
 from dayrisk.plans.baselines import climatology, persistence
 from dayrisk.plans.hypotheses import next_day_odds, phase_by_class, regimes_beyond_index
-from dayrisk.plans.panel import PanelConfig, daily_features, fit_panel
+from dayrisk.plans.panel import FittedPanel, PanelConfig, daily_features, fit_panel
 from dayrisk.plans.scoring import rows_for_dates, scenario_rows, score_dates, score_scenarios
 from dayrisk.sources.bundle import Bundle
 from dayrisk.sources.run_metrics import append_metrics, long_metrics, read_metrics
@@ -294,3 +294,17 @@ def test_locked_test_and_dates_with_two_series(spark):
     said = persistence(study.in_fold(panel, "test").select("series", "date"), labels, "any_environmental", ["series"])
     assert said.count() == 50 and said.where("predicted = 1").select("series").distinct().collect()[0][0] == "a"
     assert test.report().count() == 3
+
+
+def test_scenarios_of_one_file_are_dealt_over_the_cores(spark):
+    class Noted:
+        panel = FittedPanel([("Dst_lag1h", 0, 0.0, 0.0, 1.0)])
+
+        def score(self, rows, keep):
+            return rows.withColumn("task", F.spark_partition_id())
+
+    scenarios = spark.range(4000, numPartitions=1).selectExpr("id AS scenario_id", "CAST(-id AS DOUBLE) AS Dst", "80 AS doy")
+    rows = score_scenarios(scenarios, Noted()).collect()
+    tasks = [sum(r["task"] == t for r in rows) for t in {r["task"] for r in rows}]
+    assert sum(tasks) == 4000 and len({r["scenario_id"] for r in rows}) == 4000
+    assert len(tasks) >= spark.sparkContext.defaultParallelism and max(tasks) <= 2 * 4000 / len(tasks)
